@@ -10,19 +10,25 @@ from tickforge.schemas import KEYS, ORDER_COLUMNS
 PRECEDING = 10
 
 
-def rolling_features(trades: DataFrame, target_rows: int = slices.TARGET_ROWS) -> DataFrame:
+def rolling_features(
+    trades: DataFrame,
+    target_rows: int = slices.TARGET_ROWS,
+    source: DataFrame | None = None,
+) -> DataFrame:
     """Add rolling_avg_price, rolling_std_price and cumulative_volume.
 
     The frame is up to 11 trades of one symbol and day, ordered by time and then id.
     ``cumulative_volume`` keeps its customary name but is the sum of size over that
     same frame, not over the day. The standard deviation of one trade is NULL.
 
-    Trades cross the network once, keyed by symbol, day and slice.
+    Trades cross the network once, keyed by symbol, day and slice. ``source`` may
+    name a DataFrame with the same trades that is cheaper to scan, for counting keys.
     """
-    hot = slices.hot_keys(trades, KEYS, ORDER_COLUMNS[0], target_rows)
+    source = trades if source is None else source
+    hot = slices.hot_keys(source, KEYS, ORDER_COLUMNS[0], target_rows)
     rows = slices.with_slices(trades, hot, KEYS, ORDER_COLUMNS[0])
 
-    needed = trades.select(*KEYS, *ORDER_COLUMNS, "price", "size")
+    needed = source.select(*KEYS, *ORDER_COLUMNS, "price", "size")
     earlier = slices.previous_rows(
         slices.with_slices(needed, hot, KEYS, ORDER_COLUMNS[0], "inner"),
         KEYS,

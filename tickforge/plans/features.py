@@ -8,7 +8,13 @@ from tickforge.functions.columns import array_flag
 from tickforge.operators.labels import LabelIndex, apply_labels, fit_labels
 from tickforge.operators.rolling import rolling_features
 from tickforge.operators.slices import TARGET_ROWS
-from tickforge.schemas import CONDITION_CODES, FEATURE_COLUMNS, LABEL_COLUMNS, ORDER_COLUMNS
+from tickforge.schemas import (
+    CONDITION_CODES,
+    FEATURE_COLUMNS,
+    KEYS,
+    LABEL_COLUMNS,
+    ORDER_COLUMNS,
+)
 
 
 def typed_trades(messages: DataFrame) -> DataFrame:
@@ -26,6 +32,14 @@ def typed_trades(messages: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_times(messages: DataFrame) -> DataFrame:
+    """Messages whose timestamp is missing or does not parse, for a rejects table.
+
+    ``typed_trades`` keeps them with a NULL time.
+    """
+    return messages.where(parse_timestamp("timestamp").isNull())
+
+
 def trade_features(
     trades: DataFrame,
     labels: LabelIndex | None = None,
@@ -41,11 +55,15 @@ def trade_features(
     each scan it, with only the columns they need.
     """
     labels = labels or fit_labels(trades, LABEL_COLUMNS, code_scope)
-    # Rolling first: its shuffle then carries no column that can be derived later.
-    rolled = rolling_features(trades, target_rows)
-    coded = apply_labels(rolled, labels, LABEL_COLUMNS, on_null_label)
+    coded = apply_labels(trades, labels, LABEL_COLUMNS, on_null_label)
     flags = {name: array_flag("conditions", code) for name, code in CONDITION_CODES.items()}
-    return coded.withColumns({**time_parts("timestamp_parsed"), **flags}).select(
+    # Only what the result needs goes through the rolling shuffle: codes and flags
+    # instead of text and arrays, and no time part, since those follow from the time.
+    narrow = coded.withColumns(flags).select(
+        *KEYS, "price", "size", *LABEL_COLUMNS.values(), *CONDITION_CODES, *ORDER_COLUMNS
+    )
+    rolled = rolling_features(narrow, target_rows, source=trades)
+    return rolled.withColumns(time_parts("timestamp_parsed")).select(
         *FEATURE_COLUMNS, *ORDER_COLUMNS
     )
 

@@ -26,7 +26,7 @@ from tickforge.schemas import (
     TRADE_FEATURES,
     TRADE_MESSAGE,
 )
-from tickforge.session import build_session, require_utc, stage
+from tickforge.session import build_session, require_utc, staged
 from tickforge.sinks.files import export_json_lines, show_rows, write_table
 from tickforge.sources.files import read_json_arrays, read_table
 from tickforge.sources.streams import folder_stream, topic_stream
@@ -59,8 +59,8 @@ def features(spark: SparkSession, args) -> None:
     if args.require_symbols:
         require_complete(trades, args.require_symbols, args.event_date)
     scope = KEYS if args.code_scope == "day" else ()
-    table = trade_features(stage(trades, "typed-trades"), code_scope=scope)
-    _write(args, table, rebalance=bool(scope))
+    with staged(trades, "typed-trades") as typed:
+        _write(args, trade_features(typed, code_scope=scope), rebalance=False)
 
 
 def bars(spark: SparkSession, args) -> None:
@@ -105,7 +105,9 @@ def documents(spark: SparkSession, args) -> None:
 def land(spark: SparkSession, args) -> None:
     """A topic, or a folder of JSON lines, into the raw zone; runs until stopped."""
     if args.brokers:
-        stream = topic_stream(spark, args.brokers, args.topic, args.max_per_trigger)
+        stream = topic_stream(
+            spark, args.brokers, args.topic, args.max_per_trigger, args.min_partitions
+        )
     else:
         stream = folder_stream(spark, args.input_path)
     writer = landing_query(
@@ -151,6 +153,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--checkpoint", required=True)
     sub.add_argument("--feed", choices=["trades", "recos", "news"], help="none for a mixed topic")
     sub.add_argument("--max_per_trigger", type=int)
+    sub.add_argument("--min_partitions", type=int)
     sub.add_argument("--records_per_file", type=int, default=TRADES_PER_CHUNK)
     sub.add_argument("--once", action="store_true", help="process what is there, then stop")
     return parser

@@ -3,6 +3,7 @@
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,7 +70,21 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write once, read back columnar: cuts lineage and gives later passes pruning."""
+    return _stage_at(df, run_folder(df.sparkSession, purpose))
+
+
+def _stage_at(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, purpose: str):
+    """``stage`` for the length of a block; the files are deleted at its end."""
     spark = df.sparkSession
     path = run_folder(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield _stage_at(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

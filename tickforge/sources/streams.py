@@ -8,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def topic_stream(
-    spark: SparkSession, brokers: str, topic: str, max_per_trigger: int | None = None
+    spark: SparkSession,
+    brokers: str,
+    topic: str,
+    max_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """Kafka topic from its earliest record; afterwards from the checkpoint.
 
-    Needs the Spark Kafka connector on the class path.
+    ``min_partitions`` splits large topic partitions over more tasks. Needs the
+    Spark Kafka connector on the class path.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -22,6 +27,8 @@ def topic_stream(
     )
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+    if min_partitions:
+        reader = reader.option("minPartitions", min_partitions)
     return reader.load().selectExpr("cast(key as string) as key", "cast(value as string) as value")
 
 

@@ -18,6 +18,7 @@ from tickforge.operators.messages import classify, read_envelopes
 from tickforge.schemas import NEWS_MESSAGE, RECO_MESSAGE, TRADE_MESSAGE
 
 REJECTED = "rejected"
+FOLDERS = ["feed", "symbol", "event_date"]
 MESSAGE_SCHEMAS = {"trades": TRADE_MESSAGE, "recos": RECO_MESSAGE, "news": NEWS_MESSAGE}
 _LANDED = StructType(
     [
@@ -50,8 +51,11 @@ def landing_query(
 ) -> DataStreamWriter:
     """The configured writer; choose a trigger and start it.
 
-    ``records_per_file`` bounds the size of landed files. The observed metric
-    ``messages`` counts accepted and refused messages of every trigger.
+    ``records_per_file`` bounds the size of landed files. Rows are gathered by
+    folder before the write, so that many tasks do not each open a file in every
+    folder; the gathering is adaptive and splits a hot symbol over several tasks.
+    The observed metric ``messages`` counts accepted and refused messages of every
+    trigger.
     """
     watched = routed(records, feed).observe(
         "messages",
@@ -59,15 +63,21 @@ def landing_query(
         F.count("reason").alias("rejected"),
     )
     return (
-        watched.writeStream.format("json")
+        watched.hint("rebalance", *FOLDERS)
+        .writeStream.format("json")
         .outputMode("append")
-        .partitionBy("feed", "symbol", "event_date")
+        .partitionBy(*FOLDERS)
         .option("path", root)
         .option("checkpointLocation", checkpoint)
         .option("maxRecordsPerFile", records_per_file)
     )
 
 
+def console_query(records: DataFrame, rows: int = 20) -> DataStreamWriter:
+    """Print the first rows of every trigger; for debugging."""
+    return records.writeStream.format("console").option("numRows", rows).option("truncate", False)
+
+
 def landed_text(spark: SparkSession, root: str) -> DataFrame:
     """Landed messages as they came: value, reason and the folder columns.
 
