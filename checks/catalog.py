@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import adapters as given
 from tickforge.functions import calendar, clock, columns
-from tickforge.functions.codec import encode
+from tickforge.functions.codec import decode, encode
 from tickforge.operators import (
     bars,
     chunks,
@@ -21,7 +21,7 @@ from tickforge.operators import (
 from tickforge.plans import features, market
 from tickforge.schemas import CONDITION_CODES, ENRICHED_COLUMNS, FEATURE_COLUMNS, LABEL_COLUMNS
 from tickforge.schemas import KEYS, RECO_COUNTS, RECOS, TRADE_MESSAGE
-from tickforge.session import run_folder
+from tickforge.session import run_folder, session_conf
 from tickforge.sinks import files as sinks
 from tickforge.sources import files as sources
 from tickforge.sources import streams
@@ -162,14 +162,10 @@ def trade_messages(spark, sf):
 
 
 def trade_records(spark, sf):
-    """Key and JSON value of every record, read back field by field."""
+    """Key and JSON value of every record, the value decoded again."""
     records = messages.as_records(messages.trade_messages(given.trades(spark, sf)), keyed=True)
-    return records.select(
-        "key",
-        F.get_json_object("value", "$.id").cast("long").alias("id"),
-        F.get_json_object("value", "$.price").cast("double").alias("price"),
-        F.get_json_object("value", "$.event_date").alias("event_date"),
-    )
+    back = records.select("key", decode("value", TRADE_MESSAGE))
+    return back.withColumn("conditions", F.array_join("conditions", ",")).drop("symbol")
 
 
 def reco_messages(spark, sf):
@@ -320,7 +316,8 @@ def landing_stream(spark, sf):
     sent.select(encode(*sent.columns).alias("value")).write.text(f"{folder}/in")
     stream = streams.folder_stream(spark, f"{folder}/in")
     writer = landing.landing_query(stream, f"{folder}/raw", f"{folder}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
+    with session_conf(spark, landing.LANDING_CONF):
+        writer.trigger(availableNow=True).start().awaitTermination()
     landed = landing.landed_text(spark, f"{folder}/raw")
     decoded = {
         "id": F.get_json_object("value", "$.payload.id").cast("long"),

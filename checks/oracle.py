@@ -243,8 +243,9 @@ latest as (
     ),
     "trade_records": _with(
         TRADES,
-        f""" select symbol as key, id, price, {_DAY.format("event_date")} as event_date
-        from trades""",
+        f""" select symbol as key, price, size, exchange, {_CONDITIONS}, tape, id,
+        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' as timestamp,
+        {_DAY.format("event_date")} as event_date from trades""",
     ),
     "reco_messages": _with(
         RECOS,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickforge.functions import clock
 from tickforge.functions.columns import array_flag
-from tickforge.operators import labels, rolling
+from tickforge.operators import labels, rolling, slices
 from tickforge.plans.features import feature_columns, trade_features, typed_trades
 from tickforge.schemas import FEATURE_COLUMNS, KEYS, TRADE_MESSAGE
 
@@ -58,12 +58,12 @@ def test_ties_in_time_are_ordered_by_id(make_trades):
     assert got == {1: 10.0, 2: 15.0}
 
 
-def _random_trades(make_trades, seed, spread):
+def _random_trades(make_trades, seed, spread, hot):
     rng = random.Random(seed)
     start = dt.datetime(2025, 5, 2, 13, 30)
     rows = []
     for number in range(400):
-        symbol = "HOT" if number % 3 else rng.choice(["A", "B"])
+        symbol = hot if number % 3 else rng.choice(["A", "B"])
         ts = start + dt.timedelta(seconds=rng.choice(spread))
         rows.append(
             {"symbol": symbol, "ts": ts.isoformat(), "price": rng.random(), "size": number}
@@ -71,14 +71,25 @@ def _random_trades(make_trades, seed, spread):
     return make_trades(*rows)
 
 
-@pytest.mark.parametrize("target", [3, 17, 100])
 @pytest.mark.parametrize(
-    "spread",
-    [range(20_000), [0, 1, 19_999], [5], [*range(50), 20_000]],
-    ids=["even", "clumped", "one instant", "burst"],
+    "target, spread, hot",
+    [
+        (3, range(20_000), "HOT"),
+        (17, range(20_000), "HOT"),
+        (17, [0, 1, 19_999], "HOT"),
+        (17, [5], "HOT"),
+        (17, [*range(50), 20_000], "HOT"),
+        (100, [*range(50), 20_000], "HOT"),
+        (17, range(20_000), None),
+    ],
+    ids=["tiny slices", "even", "clumped", "one instant", "burst", "large slices", "NULL key"],
 )
-def test_hot_keys_cut_into_slices_give_the_same_rows(make_trades, target, spread):
-    trades = _random_trades(make_trades, target, list(spread))
+def test_hot_keys_cut_into_slices_give_the_same_rows(make_trades, target, spread, hot):
+    trades = _random_trades(make_trades, target, list(spread), hot)
+    cut_up = slices.with_slices(
+        trades, slices.hot_keys(trades, KEYS, "timestamp_parsed", target), KEYS, "timestamp_parsed"
+    ).where(F.col("symbol").eqNullSafe(F.lit(hot)))
+    assert (cut_up.select(slices.SLICE).distinct().count() > 1) == (len(spread) > 1)
     whole = rolling.rolling_features(trades).orderBy("id").collect()
     cut = rolling.rolling_features(trades, target_rows=target).orderBy("id").collect()
     assert cut == whole

@@ -6,8 +6,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tickforge.functions.columns import as_column
 
-_CORRUPT = "_malformed_text"
-
 
 def json_text(value) -> Column:
     """Message bytes (or text) as one line of JSON text.
@@ -18,22 +16,23 @@ def json_text(value) -> Column:
     return F.regexp_replace(as_column(value).cast("string"), r"[\r\n]+", " ")
 
 
-def decode(value, schema: StructType) -> Column:
-    """JSON text to a struct; malformed text gives a struct of NULLs."""
-    return F.from_json(as_column(value).cast("string"), schema)
+def decode(value, schema: StructType, malformed_text: str | None = None) -> Column:
+    """JSON text to one column per field, for use in a select; malformed text gives NULLs.
 
+    With ``malformed_text`` a column of that name holds the text that did not parse.
+    The struct is unpacked by a generator: Spark would otherwise copy the parse into
+    every filter that it pushes below the projection.
+    """
+    options = {}
+    if malformed_text:
+        schema = StructType([*schema.fields, StructField(malformed_text, StringType(), True)])
+        options = {"columnNameOfCorruptRecord": malformed_text}
+    return F.inline(F.array(F.from_json(as_column(value).cast("string"), schema, options)))
 
-def decode_checked(value, schema: StructType) -> Column:
-    """Like ``decode`` in one parse, with a boolean field ``malformed`` added.
 
-    Text that is NULL, does not parse, or is not a JSON object counts as malformed.
-    """
-    text = as_column(value).cast("string")
-    marked = StructType([*schema.fields, StructField(_CORRUPT, StringType(), True)])
-    parsed = F.from_json(text, marked, {"columnNameOfCorruptRecord": _CORRUPT})
-    is_object = F.coalesce(F.ltrim(text).startswith("{"), F.lit(False))
-    fields = [parsed[field.name].alias(field.name) for field in schema.fields]
-    return F.struct(*fields, (parsed[_CORRUPT].isNotNull() | ~is_object).alias("malformed"))
+def is_object_text(value) -> Column:
+    """True for text that starts a JSON object; never NULL."""
+    return F.coalesce(F.ltrim(as_column(value).cast("string")).startswith("{"), F.lit(False))
 
 
 def encode(*columns) -> Column:

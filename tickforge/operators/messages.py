@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.functions.clock import from_epoch, iso_text
-from tickforge.functions.codec import decode_checked, encode
+from tickforge.functions.codec import decode, encode, is_object_text
 from tickforge.operators.filters import has_keys, has_type
 from tickforge.schemas import ENVELOPE, NEWS_TYPE, RECO_COUNTS, RECO_TYPE
 
@@ -56,9 +56,15 @@ def as_records(messages: DataFrame, keyed: bool) -> DataFrame:
 
 
 def read_envelopes(records: DataFrame) -> DataFrame:
-    """Records with ``value`` to value, symbol, event_date, type and malformed."""
-    decoded = decode_checked("value", ENVELOPE).alias("decoded")
-    return records.select("value", decoded).select("value", "decoded.*")
+    """Records with ``value`` to value, symbol, event_date, type and malformed.
+
+    Text that is NULL, does not parse, or is not a JSON object is malformed.
+    """
+    return records.select("value", decode("value", ENVELOPE, "_bad")).select(
+        "value",
+        *ENVELOPE.names,
+        (F.col("_bad").isNotNull() | ~is_object_text("value")).alias("malformed"),
+    )
 
 
 def reject_reason(feed: str) -> Column:

@@ -14,6 +14,9 @@ The table of hot keys is broadcast. It has at most rows / target_rows rows, sinc
 each of its keys holds more than target_rows rows.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -33,6 +36,14 @@ def _position(df: DataFrame, order: str):
     return column.cast("double")
 
 
+def _join_small(df: DataFrame, small: DataFrame, on, how: str) -> DataFrame:
+    """Broadcast join where NULL keys match, as they do in a window's partitions."""
+    names = {name: f"_match_{name}" for name in on}
+    small = small.withColumnsRenamed(names)
+    same = [df[name].eqNullSafe(small[match]) for name, match in names.items()]
+    return df.join(F.broadcast(small), reduce(and_, same), how).drop(*names.values())
+
+
 def hot_keys(df: DataFrame, keys, order: str, target_rows: int = TARGET_ROWS) -> DataFrame:
     """Keys with more than ``target_rows`` rows and how to cut them.
 
@@ -58,7 +69,7 @@ def with_slices(df: DataFrame, hot: DataFrame, keys, order: str, how: str = "lef
     share = (_position(df, order) - F.col("_low")) / F.col("_span")
     number = F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
     return (
-        df.join(F.broadcast(hot), list(keys), how)
+        _join_small(df, hot, keys, how)
         .withColumn(SLICE, F.coalesce(number, F.lit(0)).cast("long"))
         .drop(*_BOUNDS)
     )
@@ -118,7 +129,7 @@ def number_rows(
     )
     within = Window.partitionBy(*keys, SLICE).orderBy(*order_by)
     return (
-        sliced.join(F.broadcast(offsets), [*keys, SLICE], "left")
+        _join_small(sliced, offsets, [*keys, SLICE], "left")
         .withColumn(
             name,
             F.row_number().over(within).cast("long") + F.coalesce("_offset", F.lit(0)),

@@ -26,11 +26,11 @@ from tickforge.schemas import (
     TRADE_FEATURES,
     TRADE_MESSAGE,
 )
-from tickforge.session import build_session, require_utc, staged
+from tickforge.session import build_session, require_utc, session_conf, staged
 from tickforge.sinks.files import export_json_lines, show_rows, write_table
 from tickforge.sources.files import read_json_arrays, read_table
 from tickforge.sources.streams import folder_stream, topic_stream
-from tickforge.streaming.landing import landing_query, read_landed
+from tickforge.streaming.landing import LANDING_CONF, landing_query, read_landed
 
 
 def _raw(spark, args, feed, schema):
@@ -115,7 +115,8 @@ def land(spark: SparkSession, args) -> None:
     )
     if args.once:
         writer = writer.trigger(availableNow=True)
-    writer.start().awaitTermination()
+    with session_conf(spark, LANDING_CONF):
+        writer.start().awaitTermination()
 
 
 def _parser() -> argparse.ArgumentParser:

@@ -68,6 +68,22 @@ def run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict):
+    """Session settings for the length of a block."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write once, read back columnar: cuts lineage and gives later passes pruning."""
     return _stage_at(df, run_folder(df.sparkSession, purpose))
