@@ -19,56 +19,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _symbol():
-    return F.concat(F.lit("S"), (F.col("user_id") % 6).cast("string"))
+SYMBOL = "concat('S', cast(user_id % 6 as string)) as symbol"
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quarter, third = F.col("event_id") % 4, F.col("user_id") % 3
-    conditions = (
-        F.when(quarter == 0, F.array(F.lit("@")))
-        .when(quarter == 1, F.array(F.lit("@"), F.lit("I")))
-        .when(quarter == 2, F.array(F.lit("@"), F.lit("T"), F.lit("I")))
-    )
-    return table(spark, sf_dir, "events").select(
-        _symbol().alias("symbol"),
-        F.to_date("ts").alias("event_date"),
-        F.col("value").alias("price"),
-        F.get_json_object("props", "$.k").cast("double").alias("size"),
-        F.col("event_type").alias("exchange"),
-        conditions.alias("conditions"),
-        F.when(third == 0, "A").when(third == 1, "B").otherwise("C").alias("tape"),
-        F.col("event_id").alias("id"),
-        F.col("ts").cast("timestamp").alias("timestamp_parsed"),
+    return table(spark, sf_dir, "events").selectExpr(
+        SYMBOL,
+        "to_date(ts) as event_date",
+        "value as price",
+        "cast(get_json_object(props, '$.k') as double) as size",
+        "event_type as exchange",
+        """case event_id % 4 when 0 then array('@') when 1 then array('@', 'I')
+           when 2 then array('@', 'T', 'I') end as conditions""",
+        "case user_id % 3 when 0 then 'A' when 1 then 'B' else 'C' end as tape",
+        "event_id as id",
+        "cast(ts as timestamp) as timestamp_parsed",
     )
 
 
 def recos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per symbol and week, dated the Monday after; S5 has none."""
-    week = F.to_date(F.date_trunc("week", "ts"))
+    counts = [F.expr(f"count_if(event_type = '{e}') as {c}") for c, e in RECO_EVENTS.items()]
     return (
         table(spark, sf_dir, "events")
-        .withColumn("symbol", _symbol())
-        .where(F.col("symbol") != "S5")
-        .groupBy("symbol", F.date_add(week, 7).alias("event_date"))
-        .agg(*[F.count_if(F.col("event_type") == e).alias(c) for c, e in RECO_EVENTS.items()])
+        .selectExpr(
+            SYMBOL,
+            "date_add(to_date(date_trunc('week', ts)), 7) as event_date",
+            "event_type",
+        )
+        .where("symbol <> 'S5'")
+        .groupBy("symbol", "event_date")
+        .agg(*counts)
     )
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes with empty symbols, NULL dates and NULL types among them."""
-    third, fiftieth = F.col("event_id") % 3, F.col("event_id") % 50
-    is_news = third == 1
-    return table(spark, sf_dir, "events").select(
-        F.when(fiftieth == 7, "").otherwise(_symbol()).alias("symbol"),
-        F.when(fiftieth != 9, F.date_format("ts", "yyyy-MM-dd")).alias("event_date"),
-        F.when(third == 0, "RECO").when(is_news, "NEWS").alias("type"),
-        F.struct(
-            F.col("event_id").alias("id"),
-            F.when(is_news, F.unix_timestamp(F.col("ts").cast("timestamp"))).alias("datetime"),
-        ).alias("payload"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "if(event_id % 50 = 7, '', concat('S', cast(user_id % 6 as string))) as symbol",
+        "if(event_id % 50 <> 9, date_format(ts, 'yyyy-MM-dd'), null) as event_date",
+        "case event_id % 3 when 0 then 'RECO' when 1 then 'NEWS' end as type",
+        """named_struct('id', event_id, 'datetime',
+           if(event_id % 3 = 1, unix_timestamp(cast(ts as timestamp)), null)) as payload""",
     )
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    return table(spark, sf_dir, "orders").selectExpr("to_date(o_orderdate) as day").distinct()

@@ -30,19 +30,16 @@ from tickforge.streaming import landing
 DAY = "2024-01-10"
 
 
+_AS_TEXT = {
+    "date": "date_format(`{0}`, 'yyyy-MM-dd') as `{0}`",
+    "timestamp": "date_format(`{0}`, 'yyyy-MM-dd HH:mm:ss.SSSSSS') as `{0}`",
+    "double": "round(`{0}`, 6) as `{0}`",
+}
+
+
 def _text(df):
     """Dates and timestamps to text, doubles rounded."""
-    out = []
-    for field in df.schema.fields:
-        column, kind = F.col(field.name), field.dataType.simpleString()
-        if kind == "date":
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif kind == "timestamp":
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        elif kind == "double":
-            column = F.round(column, 6)
-        out.append(column.alias(field.name))
-    return df.select(*out)
+    return df.selectExpr(*[_AS_TEXT.get(kind, "`{0}`").format(name) for name, kind in df.dtypes])
 
 
 def _flat_bars(df):

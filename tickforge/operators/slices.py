@@ -28,12 +28,10 @@ SLICE = "_slice"
 _BOUNDS = ["_low", "_span", "_parts"]
 
 
-def _position(df: DataFrame, order: str):
-    """The order column as a double; rounding keeps it monotone."""
-    column = F.col(order)
-    if isinstance(df.schema[order].dataType, TimestampType):
-        column = F.unix_micros(column)
-    return column.cast("double")
+def _position(df: DataFrame, order: str) -> str:
+    """SQL for the order column as a double; rounding keeps it monotone."""
+    is_time = isinstance(df.schema[order].dataType, TimestampType)
+    return f"cast({f'unix_micros({order})' if is_time else order} as double)"
 
 
 def _join_small(df: DataFrame, small: DataFrame, on, how: str) -> DataFrame:
@@ -52,27 +50,20 @@ def hot_keys(df: DataFrame, keys, order: str, target_rows: int = TARGET_ROWS) ->
     place = _position(df, order)
     return (
         df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"), F.min(place).alias("_low"), F.max(place).alias("_high"))
+        .agg(F.expr("count(*) as _rows"), F.expr(f"min({place}) as _low"), F.expr(f"max({place}) as _high"))
         .where(F.col("_rows") > target_rows)
-        .select(
-            *keys,
-            "_low",
-            (F.col("_high") - F.col("_low") + 1).alias("_span"),
-            # Twice the needed number: rows are not spread evenly over the day.
-            F.ceil(2 * F.col("_rows") / target_rows).alias("_parts"),
+        # Twice the needed number of parts: rows are not spread evenly over the day.
+        .selectExpr(
+            *keys, "_low", "_high - _low + 1 as _span", f"ceil(2 * _rows / {target_rows}) as _parts"
         )
     )
 
 
 def with_slices(df: DataFrame, hot: DataFrame, keys, order: str, how: str = "left") -> DataFrame:
     """Add ``_slice``. ``how='inner'`` keeps the rows of hot keys only."""
-    share = (_position(df, order) - F.col("_low")) / F.col("_span")
-    number = F.least(F.floor(share * F.col("_parts")), F.col("_parts") - 1)
-    return (
-        _join_small(df, hot, keys, how)
-        .withColumn(SLICE, F.coalesce(number, F.lit(0)).cast("long"))
-        .drop(*_BOUNDS)
-    )
+    share = f"({_position(df, order)} - _low) / _span"
+    number = F.expr(f"coalesce(least(floor({share} * _parts), _parts - 1), 0L)")
+    return _join_small(df, hot, keys, how).withColumn(SLICE, number).drop(*_BOUNDS)
 
 
 def previous_rows(sliced: DataFrame, keys, order_by, carry, rows: int) -> DataFrame:
