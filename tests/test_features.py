@@ -9,7 +9,7 @@ from tickforge.functions import clock
 from tickforge.functions.columns import array_flag
 from tickforge.operators import labels, rolling, slices
 from tickforge.plans.features import feature_columns, trade_features, typed_trades
-from tickforge.schemas import FEATURE_COLUMNS, KEYS, TRADE_MESSAGE
+from tickforge.schemas import FEATURE_COLUMNS, KEYS, ORDER_COLUMNS, TRADE_MESSAGE
 
 
 def test_time_parts_and_epoch(spark):
@@ -95,6 +95,21 @@ def test_hot_keys_cut_into_slices_give_the_same_rows(make_trades, target, spread
     assert cut == whole
 
 
+@pytest.mark.parametrize("spread", [[5], [0, 1, 19_999]], ids=["one instant", "clumped"])
+def test_even_slices_split_any_distribution(make_trades, spread):
+    trades = _random_trades(make_trades, 9, spread, "HOT")
+    cut = slices.even_slices(trades, KEYS, ORDER_COLUMNS, target_rows=40)
+    per_slice = [r["count"] for r in cut.groupBy(slices.SLICE).count().collect()]
+    assert len(per_slice) == 10 and max(per_slice) < 80
+    whole = rolling.rolling_features(trades).orderBy("id").collect()
+    assert rolling.rolling_features(cut).orderBy("id").select(whole[0].__fields__).collect() == whole
+    numbers = slices.number_rows(trades, KEYS, ["timestamp_parsed", "id"], "n").orderBy("id")
+    split = slices.number_rows(cut, KEYS, ["timestamp_parsed", "id"], "n").orderBy("id")
+    assert [r.n for r in split.collect()] == [r.n for r in numbers.collect()]
+    table = trade_features(trades, target_rows=40, bursts=True).orderBy("id")
+    assert table.collect() == trade_features(trades).orderBy("id").collect()
+
+
 def test_codes_by_frequency_then_label(make_trades):
     trades = make_trades(
         {"exchange": "Q"}, {"exchange": "P"}, {"exchange": "Z"}, {"exchange": "Z"}

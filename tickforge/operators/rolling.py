@@ -23,19 +23,17 @@ def rolling_features(
 
     Trades cross the network once, keyed by symbol, day and slice. ``source`` may
     name a DataFrame with the same trades that is cheaper to scan, for counting keys.
+    Trades that come out of ``even_slices`` keep their slices.
     """
-    source = trades if source is None else source
-    hot = slices.hot_keys(source, KEYS, ORDER_COLUMNS[0], target_rows)
-    rows = slices.with_slices(trades, hot, KEYS, ORDER_COLUMNS[0])
-
-    needed = source.select(*KEYS, *ORDER_COLUMNS, "price", "size")
-    earlier = slices.previous_rows(
-        slices.with_slices(needed, hot, KEYS, ORDER_COLUMNS[0], "inner"),
-        KEYS,
-        ORDER_COLUMNS,
-        ["price", "size"],
-        PRECEDING,
-    )
+    columns = [*KEYS, *ORDER_COLUMNS, "price", "size"]
+    if slices.SLICE in trades.columns:
+        rows, ends = trades, trades.select(*columns, slices.SLICE)
+    else:
+        source = trades if source is None else source
+        hot = slices.hot_keys(source, KEYS, ORDER_COLUMNS[0], target_rows)
+        rows = slices.with_slices(trades, hot, KEYS, ORDER_COLUMNS[0])
+        ends = slices.with_slices(source.select(*columns), hot, KEYS, ORDER_COLUMNS[0], "inner")
+    earlier = slices.previous_rows(ends, KEYS, ORDER_COLUMNS, ["price", "size"], PRECEDING)
 
     frame = (
         Window.partitionBy(*KEYS, slices.SLICE)

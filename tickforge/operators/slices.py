@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
+from tickforge.session import stage
+
 #: Rows a single window task should hold, about 200-400 MB for trade rows.
 TARGET_ROWS = 2_000_000
 
@@ -50,7 +52,11 @@ def hot_keys(df: DataFrame, keys, order: str, target_rows: int = TARGET_ROWS) ->
     place = _position(df, order)
     return (
         df.groupBy(*keys)
-        .agg(F.expr("count(*) as _rows"), F.expr(f"min({place}) as _low"), F.expr(f"max({place}) as _high"))
+        .agg(
+            F.expr("count(*) as _rows"),
+            F.expr(f"min({place}) as _low"),
+            F.expr(f"max({place}) as _high"),
+        )
         .where(F.col("_rows") > target_rows)
         # Twice the needed number of parts: rows are not spread evenly over the day.
         .selectExpr(
@@ -66,6 +72,22 @@ def with_slices(df: DataFrame, hot: DataFrame, keys, order: str, how: str = "lef
     return _join_small(df, hot, keys, how).withColumn(SLICE, number).drop(*_BOUNDS)
 
 
+def even_slices(
+    df: DataFrame, keys, order_by, target_rows: int = TARGET_ROWS, purpose: str = "slices"
+) -> DataFrame:
+    """Slices of about equal row count, however the order column is distributed.
+
+    ``with_slices`` cuts a day into equal stretches of time, which a burst can
+    overfill. Here Spark range-partitions all rows by key and the whole order, and
+    the partition number is the slice. Sampled ranges differ between evaluations, so
+    the rows are written once to fix them; that is the price. Operators take a
+    DataFrame that already has slices as it is.
+    """
+    parts = max(1, -(-df.count() // target_rows))
+    ranged = df.repartitionByRange(parts, *keys, *order_by)
+    return stage(ranged.withColumn(SLICE, F.spark_partition_id().cast("long")), purpose)
+
+
 def previous_rows(sliced: DataFrame, keys, order_by, carry, rows: int) -> DataFrame:
     """For every slice but the first, the ``rows`` rows just before it in its key.
 
@@ -113,11 +135,13 @@ def number_rows(
     ``order_by`` starts with a long or timestamp column and must be a total order.
     """
     keys, order_by = list(keys), list(order_by)
-    hot = hot_keys(df, keys, order_by[0], target_rows)
-    sliced = with_slices(df, hot, keys, order_by[0])
-    offsets = slice_offsets(
-        with_slices(df.select(*keys, order_by[0]), hot, keys, order_by[0], "inner"), keys
-    )
+    if SLICE in df.columns:
+        sliced = counted = df
+    else:
+        hot = hot_keys(df, keys, order_by[0], target_rows)
+        sliced = with_slices(df, hot, keys, order_by[0])
+        counted = with_slices(df.select(*keys, order_by[0]), hot, keys, order_by[0], "inner")
+    offsets = slice_offsets(counted, keys)
     within = Window.partitionBy(*keys, SLICE).orderBy(*order_by)
     return (
         _join_small(sliced, offsets, [*keys, SLICE], "left")

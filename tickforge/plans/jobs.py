@@ -1,7 +1,7 @@
 """Command-line jobs for spark-submit. Each handles all symbols and days at once;
 ``--symbol`` and ``--event_date`` narrow it.
 
-    spark-submit ... tickforge/plans/jobs.py features --input_path ... --output_path ...
+    spark-submit ... run_job.py features --input_path ... --output_path ...
 """
 
 import argparse
@@ -60,7 +60,7 @@ def features(spark: SparkSession, args) -> None:
         require_complete(trades, args.require_symbols, args.event_date)
     scope = KEYS if args.code_scope == "day" else ()
     with staged(trades, "typed-trades") as typed:
-        _write(args, trade_features(typed, code_scope=scope), rebalance=False)
+        _write(args, trade_features(typed, code_scope=scope, bursts=args.bursts), rebalance=False)
 
 
 def bars(spark: SparkSession, args) -> None:
@@ -76,7 +76,10 @@ def recos(spark: SparkSession, args) -> None:
 
 
 def latest_recos(spark: SparkSession, args) -> None:
-    """Recommendation history to one latest row per symbol as of ``--event_date``."""
+    """Recommendation history to one latest row per symbol as of ``--event_date``.
+
+    Rows written for earlier dates stay in the table, in their own partitions.
+    """
     history = read_table(spark, args.input_path, RECOS, args.symbol)
     pick = latest_if_current if args.only_if_current else latest_as_of
     _write(args, pick(history, args.event_date))
@@ -139,6 +142,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument(
         "--require_symbols", nargs="*", help="fail unless these have data; none named = default six"
     )
+    sub.add_argument("--bursts", action="store_true", help="split hot days by row count, not time")
     command(bars, "input_path").add_argument("--window_size", default="1 minute")
     sub = command(recos, "input_path")
     sub.add_argument("--raw_layout", choices=["landed", "arrays"], default="landed")
