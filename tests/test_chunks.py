@@ -23,6 +23,11 @@ def test_row_numbers_of_hot_keys(skewed, target):
         assert numbers == list(range(1, len(numbers) + 1))
 
 
+def test_numbering_joins_by_hash(skewed):
+    plan = number_rows(skewed, KEYS, ["id"], "n")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 3 and "NestedLoop" not in plan
+
+
 @pytest.mark.parametrize("target", [7, 10_000])
 def test_chunks_hold_whole_messages_in_order(skewed, target):
     made = message_chunks(

@@ -199,5 +199,6 @@ def test_rolling_columns_share_one_window(make_trades):
     text = plan._jdf.queryExecution().executedPlan().toString()
     # Keys of the hot-key counts are exchanged too; trades themselves only once.
     assert text.count("_borrowed") > 0
+    assert "BroadcastHashJoin" in text and "NestedLoop" not in text
     main = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     assert sum("_slice" in line for line in main) == 2  # trades, and the borrowed rows' tails
