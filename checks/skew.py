@@ -68,6 +68,7 @@ def main(copies: str = "100") -> None:
     print(f"largest key {sizes[0]:,} of {sizes[1]:,} rows")
     narrow = trades.select(*KEYS, "id", "price", "size", "timestamp_parsed")
     split = 250_000
+    timed("(warm-up)", rolling_features(narrow, split))
     for name, target in (("whole keys", WHOLE), ("split keys", split)):
         timed(f"rolling, {name}", rolling_features(narrow, target))
         timed(f"row numbers, {name}", number_rows(narrow, KEYS, ["id"], "n", target))
