@@ -1,5 +1,8 @@
 """Small helpers that the operators of this package share."""
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small enough for an executor's memory."""
+    """Keep Arrow batches of whole texts small enough for an executor's memory.
+
+    Workers on machines that have this folder also find the package there, wherever the
+    driver was started; elsewhere it comes with ``--py-files``.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
 
 
 def pick(df: DataFrame, **columns) -> DataFrame:
