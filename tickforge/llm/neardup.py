@@ -8,8 +8,10 @@
 3. Eight registers make a band, 64 bands in all. Two sets at similarity 0.8 share no band
    with probability 9e-7. Representatives with equal bands meet in a bucket.
 4. Candidates are first compared with the smallest member of a bucket, so that a bucket of
-   any size costs one comparison for each member. What is then still in different
-   components of one bucket is compared pair by pair; nothing is left out.
+   any size costs one comparison for each member. Members that are then still outside their
+   leader's component are held against all members of other components, in blocks of
+   bounded size within tasks. Sketches meet there, then the full sets of those that may be
+   links; only links become rows of pairs. Nothing is left out.
 5. A candidate's similarity is estimated by maximum likelihood from the registers that are
    smaller, equal and larger, jointly with the known set sizes. What may reach the
    threshold is decided on the full sets.
@@ -35,8 +37,10 @@ BANDS = 64
 BASE = 1.2
 RATE = 20.0
 LARGEST = 255
-#: Estimates below this go no further; eight deviations below a true 0.8.
-LEAST_ESTIMATE = 0.65
+#: Estimates below this go no further; more than five deviations below a true 0.8.
+LEAST_ESTIMATE = 0.7
+#: Members of a bucket that one block of a task holds, on average.
+BLOCK_ROWS = 256
 
 _RANDOM = np.random.default_rng(77)
 _XOR = _RANDOM.integers(0, 1 << 32, REGISTERS, np.uint32)
@@ -154,6 +158,12 @@ def _likely(batches: Iterator[pa.RecordBatch]):
         yield pa.RecordBatch.from_arrays(pairs, names=["a", "b"])
 
 
+def linked(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    """Whether two full sets reach the threshold."""
+    common = len(np.intersect1d(one, other, assume_unique=True))
+    return 100 * common >= percent * (len(one) + len(other) - common)
+
+
 def _linked(words: int, percent: int):
     """Keep the pairs whose full sets reach the threshold."""
 
@@ -168,9 +178,7 @@ def _linked(words: int, percent: int):
                             known.clear()
                         known[text] = shingle_set(text, words)
                     sets.append(known[text])
-                common = len(np.intersect1d(*sets, assume_unique=True))
-                union = len(sets[0]) + len(sets[1]) - common
-                keep.append(100 * common >= percent * union)
+                keep.append(linked(*sets, percent))
             keep = pa.array(keep, pa.bool_())
             pairs = [batch.column(0).filter(keep), batch.column(1).filter(keep)]
             yield pa.RecordBatch.from_arrays(pairs, names=["u", "v"])
@@ -178,17 +186,18 @@ def _linked(words: int, percent: int):
     return run
 
 
-def _links(pairs, candidates, words, percent):
-    """The pairs (a, b) that are links: estimate first, then the full sets."""
+def _pair_links(pairs, candidates, words, percent):
+    """The pairs (a, b) that are links: sizes and estimate first, then the full sets."""
 
     def beside(df, side, *columns):
-        return df.join(candidates.selectExpr(f"node as {side}", *columns), side)
+        own = candidates.selectExpr(f"node as {side}", *[f"{c} as {c}_{side}" for c in columns])
+        return df.join(own, side)
 
-    sized = beside(pairs, "a", "n as n_a", "registers as registers_a")
-    sized = beside(sized, "b", "n as n_b", "registers as registers_b")
-    sized = sized.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    sized = beside(beside(pairs, "a", "n", "registers"), "b", "n", "registers").where(
+        f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    )
     likely = sized.mapInArrow(_likely, "a bigint, b bigint")
-    texts = beside(beside(likely, "a", "text as text_a"), "b", "text as text_b")
+    texts = beside(beside(likely, "a", "text"), "b", "text")
     return texts.select("a", "b", "text_a", "text_b").mapInArrow(
         _linked(words, percent), "u bigint, v bigint"
     )
@@ -261,15 +270,13 @@ def _buckets(sketches, classes, scratch):
 def _closed(buckets, candidates, words, percent, scratch):
     """(node, component) of all nodes that are not the smallest of their component."""
 
-    def confirmed(pairs):
-        return scratch.keep(_links(pairs, candidates, words, percent))
-
     others = buckets.where("node <> leader")
     # One leader for each node: the smallest it shares a bucket with.
     first = others.groupBy("node").agg(F.min("leader").alias("a")).selectExpr("a", "node as b")
-    closed = components(confirmed(first), scratch)
-    for pairs_of in (_leader_pairs, _all_pairs):
-        more = confirmed(pairs_of(buckets, closed, scratch))
+    links = scratch.keep(_pair_links(first, candidates, words, percent))
+    closed = components(links, scratch)
+    for further in (_with_leaders, _in_blocks):
+        more = scratch.keep(further(buckets, closed, candidates, words, percent, scratch))
         if not more.isEmpty():
             before = closed.selectExpr("node as u", "component as v")
             closed = components(before.union(more), scratch)
@@ -283,21 +290,155 @@ def _named(buckets, closed, column, name):
     return joined.withColumn(name, F.coalesce(f"{name}_found", column)).drop(f"{name}_found")
 
 
-def _leader_pairs(buckets, closed, scratch):
+def _with_leaders(buckets, closed, candidates, words, percent, scratch):
     """Every member with its bucket's leader, where they are not yet connected."""
     others = buckets.where("node <> leader").select("node", "leader").distinct()
     named = _named(_named(others, closed, "node", "own"), closed, "leader", "of")
-    return named.where("own <> of").selectExpr("leader as a", "node as b")
+    pairs = named.where("own <> of").selectExpr("leader as a", "node as b")
+    return _pair_links(pairs, candidates, words, percent)
+
 
+def _in_blocks(buckets, closed, candidates, words, percent, scratch):
+    """Members outside their leader's component with every member of another component.
 
-def _all_pairs(buckets, closed, scratch):
-    """Members outside their leader's component with every member of another component."""
+    Outside and all members of a bucket are dealt to blocks by hash; each pair of an outside
+    and a member block is one group of bounded size.
+    """
     named = _named(_named(buckets, closed, "node", "own"), closed, "leader", "of")
-    named = scratch.keep(named.select("key", "node", "own", "of"))
-    outside = scratch.keep(named.where("own <> of"))
-    pairs = outside.selectExpr("key", "node as a", "own as own_a").join(
-        named.selectExpr("key", "node as b", "own as own_b", "of"), "key"
+    named = scratch.keep(named.selectExpr("key", "node", "own", "own <> of as outside"))
+    sizes = named.groupBy("key").agg(
+        F.count("*").alias("members"), F.sum(F.col("outside").cast("long")).alias("out")
+    )
+    sizes = scratch.keep(
+        sizes.where("out > 0").selectExpr(
+            "key", f"ceil(out / {BLOCK_ROWS}) as outs", f"ceil(members / {BLOCK_ROWS}) as blocks"
+        )
+    )
+    mixed = named.join(sizes, "key").join(
+        candidates.select("node", F.col("n").cast("double").alias("n"), "registers"), "node"
     )
-    # Of two members that are both outside, one order is enough.
-    once = pairs.where("own_a <> own_b and (own_b = of or a < b)")
-    return once.select("a", "b").distinct()
+    place = "pmod(xxhash64(node), {})"
+    first = mixed.where("outside").selectExpr(
+        "*", f"{place.format('outs')} as i", "explode(sequence(0L, blocks - 1)) as j", "0 as side"
+    )
+    second = mixed.selectExpr(
+        "*", "explode(sequence(0L, outs - 1)) as i", f"{place.format('blocks')} as j", "1 as side"
+    )
+    columns = ["side", "node", "own", "outside", "n", "registers"]
+    likely = scratch.keep(
+        _grouped(first.union(second), columns).mapInArrow(
+            _compared(percent),
+            "key bigint, i bigint, j bigint, a array<bigint>, b array<bigint>, nodes array<bigint>",
+        )
+    )
+    # The texts that a group's likely pairs need, then the pairs themselves.
+    needed = likely.select(*_GROUP, F.explode("nodes").alias("node"))
+    texts = needed.join(candidates.select("node", "text"), "node")
+    rows = texts.withColumn("last", F.lit(0)).unionByName(
+        likely.select(*_GROUP, "a", "b").withColumn("last", F.lit(1)), allowMissingColumns=True
+    )
+    return _grouped(rows, ["last", "node", "text", "a", "b"], "last").mapInArrow(
+        _confirmed(words, percent), "u bigint, v bigint"
+    )
+
+
+_GROUP = ["key", "i", "j"]
+
+
+def _grouped(rows, columns, *order):
+    """Rows of a group in a row, within one task; a task has many groups of bounded size."""
+    dealt = rows.select(*_GROUP, *columns).repartition(*_GROUP)
+    return dealt.sortWithinPartitions(*_GROUP, *order)
+
+
+def _confirmed(words, percent):
+    """Links among the likely pairs of each group, whose row follows those of its texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        texts = {}
+        for batch in batches:
+            rows = batch.select(["last", "node", "text", "a", "b"]).to_pylist()
+            for row in rows:
+                if not row["last"]:
+                    texts[row["node"]] = row["text"]
+                    continue
+                sets = {node: shingle_set(text, words) for node, text in texts.items()}
+                texts = {}
+                u, v = [], []
+                for one, other in zip(row["a"], row["b"]):
+                    if linked(sets[one], sets[other], percent):
+                        u.append(one)
+                        v.append(other)
+                if u:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]
+                    )
+
+    return run
+
+
+def _compared(percent):
+    """Likely pairs of each group, in one row with the nodes they are made of."""
+
+    def pairs_of(rows):
+        one, other = (rows["side"] == 0).nonzero()[0], (rows["side"] == 1).nonzero()[0]
+        a, b = (x.ravel() for x in np.meshgrid(one, other, indexing="ij"))
+        n, own, node = rows["n"], rows["own"], rows["node"]
+        near = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+        # Of two members that are both outside, one order is enough.
+        keep = near & (own[a] != own[b]) & (~rows["outside"][b] | (node[a] < node[b]))
+        a, b = a[keep], b[keep]
+        if not len(a):
+            return node[a], node[b]
+        registers = np.frombuffer(b"".join(rows["registers"]), np.uint8).reshape(-1, REGISTERS)
+        keys = np.stack([band_keys(r) for r in registers]).view(np.int64)
+        found = []
+        for start in range(0, len(a), 4096):
+            one, other = a[start : start + 4096], b[start : start + 4096]
+            # A pair that meets in several buckets is looked at in that of its first band.
+            shared = (keys[one] == keys[other]).argmax(axis=1)
+            here = keys[one, shared] == rows["key"][0]
+            one, other = one[here], other[here]
+            if len(one):
+                guess = estimate(registers[one], registers[other], n[one], n[other])
+                found.append((one[guess >= LEAST_ESTIMATE], other[guess >= LEAST_ESTIMATE]))
+        one, other = (np.concatenate([f[k] for f in found] or [a[:0]]) for k in (0, 1))
+        return node[one], node[other]
+
+    def row_of(rows):
+        a, b = pairs_of(rows)
+        if len(a):
+            nodes = np.unique(np.concatenate([a, b]))
+            lists = [pa.array([x], pa.list_(pa.int64())) for x in (a, b, nodes)]
+            place = [pa.array(rows[c][:1]) for c in _GROUP]
+            yield pa.RecordBatch.from_arrays([*place, *lists], names=[*_GROUP, "a", "b", "nodes"])
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        held = None
+        for batch in _joined(batches):
+            table = pa.Table.from_batches([batch] if held is None else [held, batch])
+            rows = {c: table.column(c).to_numpy() for c in table.column_names}
+            edge = np.flatnonzero(np.any([rows[c][1:] != rows[c][:-1] for c in _GROUP], axis=0))
+            starts = [0, *(edge + 1)]
+            for start, end in zip(starts, starts[1:]):
+                yield from row_of({c: v[start:end] for c, v in rows.items()})
+            held = table.slice(starts[-1]).combine_chunks().to_batches()[0]
+        if held is not None:
+            last = pa.Table.from_batches([held])
+            yield from row_of({c: last.column(c).to_numpy() for c in last.column_names})
+
+    return run
+
+
+def _joined(batches, rows=4096):
+    """Arrow batches of at least so many rows each, but for the last."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
