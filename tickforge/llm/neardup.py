@@ -232,7 +232,8 @@ def near_duplicates(
             .where("node is not null")
         )
         buckets = _buckets(sketches, classes, scratch)
-        ids = buckets.select(F.col("node").alias("doc_id")).distinct()
+        # These ids grow with the corpus: a shuffle at every size, never a broadcast.
+        ids = buckets.select(F.col("node").alias("doc_id")).distinct().hint("merge")
         candidates = scratch.keep(
             docs.join(ids, "doc_id", "left_semi").mapInArrow(
                 _with_registers(words), "node bigint, n bigint, registers binary, text string"
