@@ -213,10 +213,9 @@ def near_duplicates(
     linked if 100 * intersection >= ``percent`` * union. ``component_id`` is the smallest id
     reachable, ``kept`` marks the row whose id it is.
 
-    Null and empty texts have an empty set and are linked with nothing. Rows that repeat an
-    id count as one document that has the links of each of its texts. A null id takes the
-    component of equal sets, or null if it has none, and is never kept. Columns beside id
-    and text are left out.
+    Null and empty texts have an empty set and are linked with nothing. Of rows that repeat an
+    id each has the component of its own text. A null id takes the component of equal sets,
+    or null if it has none, and is never kept. Columns beside id and text are left out.
     """
     docs = pick(df, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     with Scratch(df.sparkSession, "neardup") as scratch:
