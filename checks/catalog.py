@@ -126,6 +126,13 @@ def latest_if_current(spark, sf):
     return _text(recos.latest_if_current(given.recos(spark, sf), "2024-12-31"))
 
 
+def latest_if_current_cut(spark, sf):
+    """Odd symbols have nothing after the cut-off, the others do and so yield no row."""
+    table = given.recos(spark, sf).where("symbol in ('S1', 'S3') or event_date > '2024-01-15'")
+    early = table.where("symbol not in ('S1', 'S3') or event_date <= '2024-01-15'")
+    return _text(recos.latest_if_current(early, "2024-01-20"))
+
+
 def latest_as_of(spark, sf):
     return _text(recos.latest_as_of(given.recos(spark, sf), "2024-01-20"))
 
@@ -290,7 +297,7 @@ def json_arrays_roundtrip(spark, sf):
     path = run_folder(spark, "arrays")
     made = chunks.message_chunks(messages.trade_messages(given.trades(spark, sf)), ["id"])
     sinks.write_json_arrays(made, path)
-    back = spark.read.schema(TRADE_MESSAGE).json(path)
+    back = sources.read_json_arrays(spark, path, TRADE_MESSAGE)
     return _text(features.typed_trades(back)).withColumn(
         "conditions", F.array_join("conditions", ",")
     )
@@ -324,7 +331,55 @@ def landing_stream(spark, sf):
     return landed.select(*_aliased(decoded), "feed", "reason")
 
 
+def landed_one_day(spark, sf):
+    """One symbol and day of the landed news, found by folder."""
+    folder = run_folder(spark, "landed-day")
+    sent = given.messages(spark, sf)
+    sent.select(encode(*sent.columns).alias("value")).write.text(f"{folder}/in")
+    stream = streams.folder_stream(spark, f"{folder}/in")
+    writer = landing.landing_query(stream, f"{folder}/raw", f"{folder}/checkpoint")
+    with session_conf(spark, landing.LANDING_CONF):
+        writer.trigger(availableNow=True).start().awaitTermination()
+    news = landing.read_landed(spark, f"{folder}/raw", "news", "S1", DAY)
+    return news.groupBy("symbol", "event_date").agg(F.count("*").alias("n"))
+
+
+def export_keeps_symbols(spark, sf):
+    """Two narrowed exports; the second must leave the first in place."""
+    path = run_folder(spark, "export-keys")
+    table = given.recos(spark, sf)
+    early = F.col("symbol") < "S3"
+    sinks.export_json_lines(table.where(early), path, KEYS)
+    sinks.export_json_lines(table.where(~early), path, KEYS)
+    return _text(sources.read_json_lines(spark, path, RECOS).select(*KEYS, *RECO_COUNTS))
+
+
+def _sliced(query, *columns):
+    """A split operator with slices small enough to be cut at any scale."""
+
+    def run(spark, sf):
+        made = query(given.trades(spark, sf))
+        return _text(made.select(*columns) if columns else made)
+
+    return run
+
+
 QUERIES = {
+    "latest_if_current_cut": latest_if_current_cut,
+    "landed_one_day": landed_one_day,
+    "export_keeps_symbols": export_keeps_symbols,
+    "rolling_features_split": _sliced(
+        lambda trades: rolling.rolling_features(trades, 40),
+        "id", "rolling_avg_price", "rolling_std_price", "cumulative_volume",
+    ),
+    "trade_features_split": _sliced(
+        lambda trades: features.feature_columns(features.trade_features(trades, target_rows=40))
+    ),
+    "chunks_split": _sliced(
+        lambda trades: chunks.message_chunks(
+            trades.select(*KEYS, "id", "price", "size"), ["id"], size=25, target_rows=40
+        ).drop("messages")
+    ),
     "time_parts": time_parts,
     "epoch_roundtrip": epoch_roundtrip,
     "parse_timestamps": parse_timestamps,

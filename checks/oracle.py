@@ -376,3 +376,22 @@ latest as (
         case when reason is null then feed else 'rejected' end as feed, reason from routed""",
     ),
 }
+SQL |= {
+    "rolling_features_split": SQL["rolling_features"],
+    "trade_features_split": SQL["trade_features"],
+    "chunks_split": SQL["chunks"],
+    "export_keeps_symbols": SQL["overwrite_keeps_partitions"],
+    "landed_one_day": _with(
+        MESSAGES,
+        _ROUTED,
+        """ select symbol, event_date, count(*) as n from routed where reason is null
+        and feed = 'news' and symbol = 'S1' and event_date = '2024-01-10' group by all""",
+    ),
+    "latest_if_current_cut": _with(
+        RECOS,
+        f""" select {_RECO_COLUMNS} from
+        (select *, max(event_date) over (partition by symbol) as newest from recos
+        where (symbol in ('S1', 'S3')) = (event_date <= date '2024-01-15'))
+        where event_date = newest and event_date <= date '2024-01-20'""",
+    ),
+}

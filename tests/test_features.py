@@ -119,14 +119,13 @@ def test_codes_by_frequency_then_label(make_trades):
     assert got == {"Z": 0.0, "P": 1.0, "Q": 2.0}
 
 
-def test_large_label_tables_are_joined_without_broadcast(make_trades):
+def test_many_labels_are_ranked_in_slices(make_trades):
     trades = make_trades(*[{"exchange": e} for e in "QPZZYXWVVV"])
-    small = labels.fit_labels(trades, ["exchange", "tape"])
-    large = labels.fit_labels(trades, ["exchange", "tape"], broadcast_labels=2)
-    assert small.small and not large.small
-    assert sorted(small.table.collect()) == sorted(large.table.collect())
+    whole = labels.fit_labels(trades, ["exchange", "tape"])
+    cut = labels.fit_labels(trades, ["exchange", "tape"], target_rows=2)
+    assert sorted(whole.table.collect()) == sorted(cut.table.collect())
     columns = {"exchange": "exchange_index", "tape": "tape_index"}
-    applied = [labels.apply_labels(trades, index, columns) for index in (small, large)]
+    applied = [labels.apply_labels(trades, index, columns) for index in (whole, cut)]
     assert sorted(applied[0].collect()) == sorted(applied[1].collect())
 
 

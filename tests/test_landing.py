@@ -1,12 +1,14 @@
 import json
+import re
 
 import pytest
 
-from tickforge.sources.streams import folder_stream, topic_stream
+from tickforge.sources.streams import folder_stream, topic_records, topic_stream
 from tickforge.streaming.landing import (
     landed_text,
     landing_query,
     read_landed,
+    read_misfits,
     read_rejected,
     routed,
 )
@@ -84,6 +86,37 @@ def test_landed_folders_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(feed" in plan
 
 
+def test_one_symbol_and_day_is_read_alone(spark, tmp_path):
+    send(tmp_path / "in", "1", [message(0), "\n\t " + message(1), message(2).replace("2025-05-02", "n/a")])
+    land(spark, tmp_path, "trades")
+    root = str(tmp_path / "raw")
+    table = read_landed(spark, root, "trades", "S0", "2025-05-02")
+    filters = re.search(r"PartitionFilters: \[(.*?)\], ", plan_of(table))[1]
+    assert all(name in filters for name in ("feed", "symbol", "event_date"))
+    assert sorted(r.id for r in table.collect()) == sorted({0, 1} if message(1).count("S0") else {0})
+    assert "bad date" in {r.reason for r in read_rejected(spark, root).collect()}
+
+
+def test_wrongly_typed_fields_are_listed(spark, tmp_path):
+    bad = json.dumps(json.loads(message(0)) | {"price": "twelve"})
+    send(tmp_path / "in", "1", [message(0), bad])
+    land(spark, tmp_path, "trades")
+    misfits = read_misfits(spark, str(tmp_path / "raw"), "trades").collect()
+    assert [r.reason for r in misfits] == ["bad field"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_topic_records_keep_the_order_of_arrival(spark):
+    row = (b"k", b"v", "t", 1, 7, None)
+    loaded = spark.createDataFrame(
+        [row], "key binary, value binary, topic string, partition int, offset long, timestamp timestamp"
+    )
+    assert topic_records(loaded).first() == ("k", "v", "t", 1, 7, None)
+
+
 def test_topic_source_needs_the_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         topic_stream(spark, "nowhere:9092", "trades", 10)

@@ -69,8 +69,8 @@ def test_reject_reasons(spark, position, feed):
 
 
 def test_mixed_topic_is_split_by_type(spark):
-    values = ['{"symbol":"A","event_date":"d","type":"%s"}' % t for t in ("RECO", "NEWS", "X")]
-    values.append('{"symbol":"A","event_date":"d"}')
+    values = ['{"symbol":"A","event_date":"2025-05-02","type":"%s"}' % t for t in ("RECO", "NEWS", "X")]
+    values.append('{"symbol":"A","event_date":"2025-05-02"}')
     records = spark.createDataFrame([(v,) for v in values], "value string")
     classified = messages.classify(messages.read_envelopes(records))
     assert [r.feed for r in classified.collect()] == ["recos", "news", "trades", "trades"]

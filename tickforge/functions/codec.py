@@ -7,6 +7,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tickforge.functions.columns import as_column
 
 
+# Fixed value: keeps microseconds, which the default format cuts to milliseconds.
+TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+#: Options under which JSON text keeps NULL fields and whole timestamps.
+FAITHFUL = {"ignoreNullFields": "false", "timestampFormat": TIMESTAMP_FORMAT}
+
+
 def json_text(value) -> Column:
     """Message bytes (or text) as one line of JSON text.
 
@@ -31,10 +37,11 @@ def decode(value, schema: StructType, malformed_text: str | None = None) -> Colu
 
 
 def is_object_text(value) -> Column:
-    """True for text that starts a JSON object; never NULL."""
-    return F.coalesce(F.ltrim(as_column(value).cast("string")).startswith("{"), F.lit(False))
+    """True for text that starts a JSON object, after any JSON white space; never NULL."""
+    text = F.ltrim(as_column(value).cast("string"), F.lit(" \t\r\n"))
+    return F.coalesce(text.startswith("{"), F.lit(False))
 
 
 def encode(*columns) -> Column:
     """Columns to one JSON object; NULL fields are written as null."""
-    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    return F.to_json(F.struct(*columns), FAITHFUL)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickforge.functions.codec import FAITHFUL
 from tickforge.operators.slices import TARGET_ROWS, number_rows
 from tickforge.schemas import KEYS
 
@@ -29,7 +30,7 @@ def message_chunks(
     numbered = number_rows(messages, keys, order_by, "_number", target_rows)
     item = F.struct(F.col("_number"), F.struct(*body).alias("message"))
     in_order = F.array_sort(F.collect_list(item))
-    array_text = F.to_json(F.transform(in_order, lambda x: x["message"]))
+    array_text = F.to_json(F.transform(in_order, lambda x: x["message"]), FAITHFUL)
     return (
         numbered.withColumn("chunk", F.floor((F.col("_number") - 1) / size))
         .groupBy(*keys, "chunk")

@@ -62,4 +62,4 @@ def in_session(df: DataFrame, day: str, ts: str = "timestamp_parsed", local=Fals
 
 def on_day(df: DataFrame, day: str) -> DataFrame:
     """Messages of one day; event_date may be text or a date."""
-    return df.where(F.col("event_date").cast("date") == date_literal(day))
+    return df.where(F.col("event_date").try_cast("date") == date_literal(day))

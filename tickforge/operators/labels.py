@@ -2,15 +2,10 @@
 
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.operators.slices import SLICE, slice_offsets
-from tickforge.session import stage
-
-#: Largest label table that is broadcast; venue and tape codes are a few dozen.
-BROADCAST_LABELS = 100_000
+from tickforge.operators.slices import TARGET_ROWS, number_rows
 
 
 @dataclass(frozen=True)
@@ -19,7 +14,6 @@ class LabelIndex:
 
     table: DataFrame
     scope: tuple
-    small: bool
 
 
 def label_counts(df: DataFrame, columns, scope=()) -> DataFrame:
@@ -36,70 +30,26 @@ def label_counts(df: DataFrame, columns, scope=()) -> DataFrame:
     )
 
 
-def rank_labels(counts: DataFrame, scope=()) -> DataFrame:
-    """label_index within each column (and scope) of a table of label counts."""
-    order = Window.partitionBy(*scope, "column").orderBy(F.desc("n"), "label")
-    index = (F.row_number().over(order) - 1).cast("double").alias("label_index")
-    return counts.select(*scope, "column", "label", index)
-
-
-def rank_many_labels(counts: DataFrame) -> DataFrame:
-    """Same result as ``rank_labels`` for label sets too large for one task.
+def rank_labels(counts: DataFrame, scope=(), target_rows: int = TARGET_ROWS) -> DataFrame:
+    """label_index within each column (and scope) of a table of label counts.
 
-    Labels are range-sorted into partitions and written, so that each keeps its
-    partition number; the code is the place within the partition plus the labels
-    in the partitions before it.
+    Numbering cuts a column with very many labels into slices of its counts.
     """
-    ranged = stage(
-        counts.repartitionByRange("column", F.desc("n"), "label").withColumn(
-            SLICE, F.spark_partition_id().cast("long")
-        ),
-        "label-counts",
-    )
-    offsets = slice_offsets(ranged, ["column"])  # one row per partition at most
-    within = Window.partitionBy("column", SLICE).orderBy(F.desc("n"), "label")
-    index = F.row_number().over(within) - 1 + F.coalesce("_offset", F.lit(0))
-    return ranged.join(F.broadcast(offsets), ["column", SLICE], "left").select(
-        "column", "label", index.cast("double").alias("label_index")
-    )
-
-
-def _local_index(spark, columns, found) -> DataFrame:
-    """``rank_labels`` for a checked handful of counted labels, as a local table."""
-    rows = []
-    for column in columns:
-        counted = [row for row in found if row["column"] == column]
-        counted.sort(key=lambda row: (-row["n"], row["label"]))
-        rows += [(column, row["label"], float(code)) for code, row in enumerate(counted)]
-    names, labels, codes = zip(*rows, strict=True) if rows else ((), (), ())
-    return spark.createDataFrame(
-        pa.table(
-            {
-                "column": pa.array(names, pa.string()),
-                "label": pa.array(labels, pa.string()),
-                "label_index": pa.array(codes, pa.float64()),
-            }
-        )
-    )
+    ordered = counts.withColumn("_rarity", -F.col("n"))
+    keys = [*scope, "column"]
+    numbered = number_rows(ordered, keys, ["_rarity", "label"], "_number", target_rows)
+    index = (F.col("_number") - 1).cast("double").alias("label_index")
+    return numbered.select(*scope, "column", "label", index)
 
 
-def fit_labels(
-    df: DataFrame, columns, scope=(), broadcast_labels: int = BROADCAST_LABELS
-) -> LabelIndex:
+def fit_labels(df: DataFrame, columns, scope=(), target_rows: int = TARGET_ROWS) -> LabelIndex:
     """Fit codes. With ``scope`` each group (say symbol and day) gets its own codes.
 
-    Without scope this runs one counting job, as fitting must: it takes at most
-    ``broadcast_labels + 1`` counted labels to find out whether the table may be
-    broadcast. Larger tables stay distributed and are joined by shuffle.
+    Nothing is collected: counts and codes are tables of whatever size the labels need, and
+    Spark broadcasts them where they turn out small.
     """
     columns, scope = list(columns), tuple(scope)
-    counts = label_counts(df, columns, scope)
-    if scope:
-        return LabelIndex(rank_labels(counts, scope), scope, small=False)
-    found = counts.limit(broadcast_labels + 1).collect()
-    if len(found) <= broadcast_labels:
-        return LabelIndex(_local_index(df.sparkSession, columns, found), scope, small=True)
-    return LabelIndex(rank_many_labels(counts), scope, small=False)
+    return LabelIndex(rank_labels(label_counts(df, columns, scope), scope, target_rows), scope)
 
 
 def apply_labels(df: DataFrame, index: LabelIndex, columns: dict, on_null="error") -> DataFrame:
@@ -111,7 +61,7 @@ def apply_labels(df: DataFrame, index: LabelIndex, columns: dict, on_null="error
         codes = index.table.where(F.col("column") == source).select(
             *index.scope, F.col("label").alias(source), F.col("label_index").alias(target)
         )
-        df = df.join(F.broadcast(codes) if index.small else codes, [*index.scope, source], "left")
+        df = df.join(codes, [*index.scope, source], "left")
         if on_null == "error":
             missing = F.raise_error(F.lit(f"{source} is NULL, cannot be coded")).cast("double")
             df = df.withColumn(

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.functions.clock import from_epoch, iso_text
+from tickforge.functions.columns import is_filled
 from tickforge.functions.codec import decode, encode, is_object_text
 from tickforge.operators.filters import has_keys, has_type
 from tickforge.schemas import ENVELOPE, NEWS_TYPE, RECO_COUNTS, RECO_TYPE
@@ -71,13 +72,14 @@ def reject_reason(feed: str) -> Column:
     """Why a feed refuses an envelope, or NULL if it takes it.
 
     Recommendations must carry their type. Trades only need both keys to be there;
-    the other feeds need them filled.
+    the other feeds need them filled. A day that is given must be a date.
     """
     wrong_type = ~has_type(RECO_TYPE) if feed == RECOS else F.lit(False)
     return (
         F.when(F.col("malformed"), "malformed")
         .when(wrong_type, "wrong type")
         .when(~has_keys(truthy=feed != TRADES), "missing key")
+        .when(is_filled("event_date") & F.col("event_date").try_cast("date").isNull(), "bad date")
     )
 
 

@@ -13,7 +13,7 @@ def flatten_recos(messages: DataFrame, symbol: str | None = None) -> DataFrame:
         messages = messages.where(F.col("symbol") == symbol)
     return messages.select(
         "symbol",
-        F.col("payload.period").cast("date").alias("event_date"),
+        F.col("payload.period").try_cast("date").alias("event_date"),
         *[F.col(f"payload.{name}").alias(name) for name in RECO_COUNTS],
     )
 

@@ -21,7 +21,7 @@ def typed_trades(messages: DataFrame) -> DataFrame:
     """Raw messages with the timestamp parsed and event_date as a date."""
     return messages.select(
         "symbol",
-        F.col("event_date").cast("date").alias("event_date"),
+        F.col("event_date").try_cast("date").alias("event_date"),
         "price",
         "size",
         "exchange",

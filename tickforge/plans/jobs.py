@@ -9,7 +9,6 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tickforge.operators.bars import price_bars
-from tickforge.operators.chunks import TRADES_PER_CHUNK
 from tickforge.operators.documents import typed_documents
 from tickforge.operators.enrich import enrich_asof
 from tickforge.operators.filters import partition_filter
@@ -30,13 +29,20 @@ from tickforge.session import build_session, require_utc, session_conf, staged
 from tickforge.sinks.files import export_json_lines, show_rows, write_table
 from tickforge.sources.files import read_json_arrays, read_table
 from tickforge.sources.streams import folder_stream, topic_stream
-from tickforge.streaming.landing import LANDING_CONF, landing_query, read_landed
+from tickforge.streaming.landing import LANDING_CONF, landing_query, read_landed, read_misfits
 
 
-def _raw(spark, args, feed, schema):
+def _raw(spark, args, feed, schema, **days):
+    """Raw messages of the symbol and days asked for; other folders are not read.
+
+    What cannot be typed goes to ``--rejects_path``, if that is given.
+    """
     if args.raw_layout == "arrays":
-        return read_json_arrays(spark, args.input_path, schema)
-    return read_landed(spark, args.input_path, feed)
+        return read_json_arrays(spark, args.input_path, schema, args.symbol, days.get("event_date"))
+    if args.rejects_path:
+        misfits = read_misfits(spark, args.input_path, feed, args.symbol, **days)
+        misfits.write.mode("append").json(args.rejects_path)
+    return read_landed(spark, args.input_path, feed, args.symbol, **days)
 
 
 def _write(args, df, **options):
@@ -53,13 +59,12 @@ def features(spark: SparkSession, args) -> None:
     read with column pruning. Rows leave the rolling shuffle grouped by key, so the
     write adds no shuffle.
     """
-    trades = partition_filter(
-        typed_trades(_raw(spark, args, "trades", TRADE_MESSAGE)), args.symbol, args.event_date
-    )
-    if args.require_symbols:
-        require_complete(trades, args.require_symbols, args.event_date)
+    raw = _raw(spark, args, "trades", TRADE_MESSAGE, event_date=args.event_date)
+    trades = partition_filter(typed_trades(raw), args.symbol, args.event_date)
     scope = KEYS if args.code_scope == "day" else ()
     with staged(trades, "typed-trades") as typed:
+        if args.require_symbols:
+            require_complete(typed, args.require_symbols, args.event_date)
         _write(args, trade_features(typed, code_scope=scope, bursts=args.bursts), rebalance=False)
 
 
@@ -71,7 +76,7 @@ def bars(spark: SparkSession, args) -> None:
 
 def recos(spark: SparkSession, args) -> None:
     """Raw recommendations to the full history, up to ``--event_date`` if given."""
-    flat = flatten_recos(_raw(spark, args, "recos", RECO_MESSAGE), args.symbol)
+    flat = flatten_recos(_raw(spark, args, "recos", RECO_MESSAGE, until=args.event_date), args.symbol)
     _write(args, partition_filter(flat, until=args.event_date))
 
 
@@ -102,7 +107,8 @@ def market(spark: SparkSession, args) -> None:
 def documents(spark: SparkSession, args) -> None:
     """Feature table to typed JSON-lines documents."""
     table = read_table(spark, args.input_path, TRADE_FEATURES, args.symbol, args.event_date)
-    export_json_lines(typed_documents(table.drop("timestamp_parsed", "id")), args.output_path)
+    made = typed_documents(table.drop("timestamp_parsed", "id"))
+    export_json_lines(made, args.output_path, KEYS)
 
 
 def land(spark: SparkSession, args) -> None:
@@ -112,7 +118,7 @@ def land(spark: SparkSession, args) -> None:
             spark, args.brokers, args.topic, args.max_per_trigger, args.min_partitions
         )
     else:
-        stream = folder_stream(spark, args.input_path)
+        stream = folder_stream(spark, args.input_path, args.max_per_trigger)
     writer = landing_query(
         stream, args.output_path, args.checkpoint, args.feed, args.records_per_file
     )
@@ -138,6 +144,7 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = command(features, "input_path")
     sub.add_argument("--raw_layout", choices=["landed", "arrays"], default="landed")
+    sub.add_argument("--rejects_path", help="landed messages with a field of a wrong type")
     sub.add_argument("--code_scope", choices=["input", "day"], default="input")
     sub.add_argument(
         "--require_symbols", nargs="*", help="fail unless these have data; none named = default six"
@@ -146,6 +153,7 @@ def _parser() -> argparse.ArgumentParser:
     command(bars, "input_path").add_argument("--window_size", default="1 minute")
     sub = command(recos, "input_path")
     sub.add_argument("--raw_layout", choices=["landed", "arrays"], default="landed")
+    sub.add_argument("--rejects_path", help="landed messages with a field of a wrong type")
     sub = command(latest_recos, "input_path")
     sub.add_argument("--only_if_current", action="store_true")
     command(enrich, "bars_path", "recos_path")
@@ -159,7 +167,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--feed", choices=["trades", "recos", "news"], help="none for a mixed topic")
     sub.add_argument("--max_per_trigger", type=int)
     sub.add_argument("--min_partitions", type=int)
-    sub.add_argument("--records_per_file", type=int, default=TRADES_PER_CHUNK)
+    sub.add_argument("--records_per_file", type=int, )
     sub.add_argument("--once", action="store_true", help="process what is there, then stop")
     return parser
 

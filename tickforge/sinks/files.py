@@ -1,11 +1,11 @@
 """Partition-safe table writes and JSON export."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tickforge.functions.codec import TIMESTAMP_FORMAT
 from tickforge.schemas import KEYS
 
-# Fixed value: keeps microseconds, which the default format cuts to milliseconds.
-TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def write_table(df: DataFrame, root: str, keys=KEYS, rebalance: bool = True) -> None:
@@ -26,10 +26,18 @@ def write_table(df: DataFrame, root: str, keys=KEYS, rebalance: bool = True) ->
     )
 
 
-def export_json_lines(df: DataFrame, path: str) -> None:
-    """One JSON record per row, NULL fields written, microseconds kept."""
+def export_json_lines(df: DataFrame, path: str, keys=()) -> None:
+    """One JSON record per row, NULL fields written, microseconds kept.
+
+    With ``keys`` the export lies in folders ``part_<key>=...`` and only the folders present
+    in ``df`` are replaced; records keep their keys. Without, the whole export is replaced.
+    """
+    parts = {f"part_{key}": F.col(key) for key in keys}
+    writer = df.withColumns(parts).hint("rebalance", *parts).write if keys else df.write
+    if keys:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
     (
-        df.write.mode("overwrite")
+        writer.mode("overwrite")
         .option("ignoreNullFields", "false")
         .option("timestampFormat", TIMESTAMP_FORMAT)
         .json(path)
@@ -37,8 +45,11 @@ def export_json_lines(df: DataFrame, path: str) -> None:
 
 
 def write_json_arrays(chunks: DataFrame, path: str) -> None:
-    """Message chunks to text files of JSON arrays, one array per line, by key."""
-    chunks.select(*KEYS, "messages").write.mode("append").partitionBy(*KEYS).text(path)
+    """Message chunks to files of one JSON array each, by key; ``read_json_arrays`` reads them."""
+    writer = chunks.select(*KEYS, "messages").write.mode("append").partitionBy(*KEYS)
+    # One text column as it is, in files whose names end in .json.
+    plain = {"extension": "json", "sep": "\u0001", "quote": "", "maxRecordsPerFile": "1"}
+    writer.options(**plain).csv(path)
 
 
 def write_topic(records: DataFrame, brokers: str, topic: str) -> None:

@@ -6,12 +6,25 @@ from pyspark.sql.types import StructType
 from tickforge.operators.filters import partition_filter
 
 
-def read_json_arrays(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_json_arrays(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    symbol: str | None = None,
+    event_date: str | None = None,
+) -> DataFrame:
     """Files holding one JSON array each, one row per element.
 
-    Every ``*.json`` below ``path`` is read, whatever the folder layout; keys come
-    from the records. A file is one task, so writers should keep arrays small.
+    Every ``*.json`` below ``path`` is read, whatever the folder layout; keys come from the
+    records. With ``symbol`` or ``event_date`` only folders ``symbol=.../event_date=...`` of
+    that part are listed and read, if the layout has them; otherwise all is read, and the
+    caller filters. A file is one task, so writers should keep arrays small.
     """
+    if symbol is not None or event_date is not None:
+        part = f"{path}/symbol={symbol or '*'}/event_date={event_date or '*'}"
+        folder = spark._jvm.org.apache.hadoop.fs.Path(part)
+        system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        path = part if len(system.globStatus(folder) or []) else path
     return (
         spark.read.schema(schema)
         .option("multiline", "true")

@@ -29,7 +29,16 @@ def topic_stream(
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
     if min_partitions:
         reader = reader.option("minPartitions", min_partitions)
-    return reader.load().selectExpr("cast(key as string) as key", "cast(value as string) as value")
+    return topic_records(reader.load())
+
+
+def topic_records(loaded: DataFrame) -> DataFrame:
+    """Key and value as text, with the topic, partition, offset and broker time that give
+    the order of arrival."""
+    return loaded.selectExpr(
+        "cast(key as string) as key", "cast(value as string) as value",
+        "topic", "partition", "offset", "timestamp",
+    )
 
 
 def folder_stream(

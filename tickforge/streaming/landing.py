@@ -13,7 +13,6 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tickforge.functions.codec import decode, json_text
-from tickforge.operators.chunks import TRADES_PER_CHUNK
 from tickforge.operators.messages import classify, read_envelopes
 from tickforge.schemas import NEWS_MESSAGE, RECO_MESSAGE, TRADE_MESSAGE
 
@@ -51,13 +50,13 @@ def landing_query(
     root: str,
     checkpoint: str,
     feed: str | None = None,
-    records_per_file: int = TRADES_PER_CHUNK,
+    records_per_file: int | None = None,
 ) -> DataStreamWriter:
     """The configured writer; choose a trigger and start it.
 
-    ``records_per_file`` bounds the size of landed files. Rows are gathered by
-    folder before the write, so that many tasks do not each open a file in every
-    folder; the gathering is adaptive and splits a hot symbol over several tasks.
+    Rows are gathered by folder before the write, so that many tasks do not each open a
+    file in every folder; the gathering is adaptive, splits a hot symbol over several tasks
+    and so sizes the files. ``records_per_file`` bounds them further, if given.
     The observed metric ``messages`` counts accepted and refused messages of every
     trigger.
     """
@@ -66,15 +65,15 @@ def landing_query(
         F.count(F.lit(1)).alias("received"),
         F.count("reason").alias("rejected"),
     )
-    return (
+    writer = (
         watched.hint("rebalance", *FOLDERS)
         .writeStream.format("json")
         .outputMode("append")
         .partitionBy(*FOLDERS)
         .option("path", root)
         .option("checkpointLocation", checkpoint)
-        .option("maxRecordsPerFile", records_per_file)
     )
+    return writer.option("maxRecordsPerFile", records_per_file) if records_per_file else writer
 
 
 def console_query(records: DataFrame, rows: int = 20) -> DataStreamWriter:
@@ -90,12 +89,41 @@ def landed_text(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(_LANDED).json(root)
 
 
-def read_landed(spark: SparkSession, root: str, feed: str) -> DataFrame:
-    """Decoded messages of one feed; other feeds' folders are pruned."""
+def _landed_part(spark, root, feed, symbol, event_date, until) -> DataFrame:
+    """Landed text of one feed; conditions on folders, so that the others are not read."""
     landed = landed_text(spark, root).where(F.col("feed") == feed)
+    if symbol is not None:
+        landed = landed.where(F.col("symbol") == symbol)
+    if event_date is not None:
+        landed = landed.where(F.col("event_date") == event_date)
+    if until is not None:
+        landed = landed.where(F.col("event_date") <= until)
+    return landed
+
+
+def read_landed(
+    spark: SparkSession, root: str, feed: str, symbol=None, event_date=None, until=None
+) -> DataFrame:
+    """Decoded messages of one feed, optionally one symbol, one day, or all days up to one.
+
+    All of these are folders: what is not asked for is neither read nor parsed.
+    """
+    landed = _landed_part(spark, root, feed, symbol, event_date, until)
     return landed.select(decode("value", MESSAGE_SCHEMAS[feed]))
 
 
+def read_misfits(
+    spark: SparkSession, root: str, feed: str, symbol=None, event_date=None, until=None
+) -> DataFrame:
+    """Landed messages with a field of another type than the feed has: value, reason.
+
+    ``read_landed`` gives them with NULL in such fields.
+    """
+    landed = _landed_part(spark, root, feed, symbol, event_date, until)
+    checked = landed.select("value", decode("value", MESSAGE_SCHEMAS[feed], "_bad"))
+    return checked.where("_bad is not null").select("value", F.lit("bad field").alias("reason"))
+
+
 def read_rejected(spark: SparkSession, root: str) -> DataFrame:
     """Refused messages with their reason."""
     return landed_text(spark, root).where(F.col("feed") == REJECTED).select("value", "reason")
