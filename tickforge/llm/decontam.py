@@ -10,6 +10,7 @@ Documents are read once. Only windows that pass a filter of fixed size, built fr
 benchmark's window hashes, leave the task that found them; the join afterwards is exact.
 """
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.llm.common import Scratch, pick
-from tickforge.llm.shingles import mix, windows
+from tickforge.llm.shingles import mix
 
 WORDS = 8
 LITERALS = 4
@@ -45,6 +46,8 @@ _NUMBER = re.compile(r"\d[\d.,:/]*")
 _MEASURE = re.compile(r"\d[\d.,:/]*[^\W\d_]{1,4}")
 NUMBER, NAME, UNIT, MEASURE = 1, 2, 3, 4
 _SLOTS = 16  # codes below are placeholders
+#: Odd random factors of the words of a window.
+_FACTORS = np.random.default_rng(408).integers(0, 1 << 63, WORDS, np.uint64) * 2 + 1
 
 
 class _Codes(dict):
@@ -58,25 +61,21 @@ class _Codes(dict):
 
 
 def _hash(word: str) -> int:
-    raw = int.from_bytes(word.encode("utf-8", "surrogatepass"), "little")
-    value = 0x5851F42D4C957F2D
-    while True:
-        value = int(mix(np.array([value ^ (raw & (2**64 - 1))], np.uint64))[0])
-        raw >>= 64
-        if not raw:
-            return max(value, _SLOTS)
+    found = hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return max(int.from_bytes(found, "little"), _SLOTS)
 
 
 def canonical(word: str) -> int:
-    core = _EDGE.sub("", word)
+    plain = word.isalpha()
+    core = word if plain else _EDGE.sub("", word)
     if not core:
         return 0
     low = core.lower()
-    if _NUMBER.fullmatch(core) or low in _NUMBER_WORDS:
+    if low in _NUMBER_WORDS or not plain and _NUMBER.fullmatch(core):
         return NUMBER
     if low in _UNIT_WORDS:
         return UNIT
-    if _MEASURE.fullmatch(core):
+    if not plain and _MEASURE.fullmatch(core):
         return MEASURE
     if core[0].isupper():
         return NAME
@@ -100,7 +99,10 @@ def template_windows(text: str | None):
     enough = literal[WORDS:] - literal[:-WORDS] >= LITERALS
     at = np.flatnonzero(enough)
     words = [words[k] for k in some] if len(some) < len(words) else words
-    return at, windows(codes, WORDS)[at], words
+    sums = np.zeros(len(codes) - WORDS + 1, np.uint64)
+    for k, factor in enumerate(_FACTORS):
+        sums += codes[k : k + len(sums)] * factor
+    return at, mix(sums[at]), words
 
 
 def _slots(words, at):
