@@ -332,3 +332,16 @@ def test_digests_are_of_the_packed_ids(spark):
     packed = np.array(ids, "<u4").tobytes()
     assert rows.first() == (hashlib.sha256(packed).hexdigest(), len(ids))
     assert json.dumps(ids)
+
+
+def test_language_sample_is_the_first_ids_of_each_language(spark):
+    rows = spark.range(4000).selectExpr(
+        "id as doc_id", "case when id % 100 = 0 then 'de' else 'en' end as lang"
+    )
+    again = spark.range(300).selectExpr("7L as doc_id", "'fr' as lang")
+    found = langid._chosen(rows.union(again), 50).toPandas()
+    placed = rows.withColumn("place", langid.spread("doc_id", 9)).orderBy("place").toPandas()
+    for lang in ("en", "de"):
+        first = placed[placed["lang"] == lang]["doc_id"][:50]
+        assert sorted(found[found["lang"] == lang]["doc_id"]) == sorted(first)
+    assert found[found["lang"] == "fr"]["doc_id"].tolist() == [7]

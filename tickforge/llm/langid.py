@@ -119,14 +119,7 @@ def fit(df: DataFrame, sample_rows=SAMPLE_ROWS) -> Model:
     """Model from (doc_id, text, lang): at most ``sample_rows`` rows of each language."""
     known = df.where("lang is not null and text is not null and doc_id is not null")
     known = known.where(~held_out("doc_id"))
-    by_language = Window.partitionBy("lang").orderBy(spread("doc_id", 9), "doc_id")
-    chosen = (
-        known.select("doc_id", "lang")
-        .withColumn("_rank", F.row_number().over(by_language))
-        .where(F.col("_rank") <= sample_rows)
-        .select("doc_id", "lang")
-        .distinct()
-    )
+    chosen = _chosen(known.select("doc_id", "lang"), sample_rows)
     texts = known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     sample = texts.select("doc_id", "text", "lang").mapInArrow(
         _sparse, "doc_id bigint, lang string, buckets binary, counts binary"
@@ -142,6 +135,35 @@ def fit(df: DataFrame, sample_rows=SAMPLE_ROWS) -> Model:
     return train(counts, found["lang"].map(place).to_numpy(), languages)
 
 
+def _chosen(known: DataFrame, sample_rows: int) -> DataFrame:
+    """The first ``sample_rows`` ids of each language in a fixed random order of ids.
+
+    A language may hold most rows, so they are not ranked: counts by language set a level
+    that about twice the wanted rows lie below, and only those meet in one task.
+    """
+    rows = known.withColumn("_place", spread("doc_id", 9))
+    levels = rows.groupBy("lang").agg(
+        F.expr("count(*) as _rows"), F.min("_place").alias("_least")
+    )
+    # Places are spread evenly over all longs; the least one keeps every language in.
+    share = f"{2.0 * sample_rows}D / _rows - 0.5D"
+    levels = levels.selectExpr(
+        "lang",
+        f"case when _rows <= {2 * sample_rows} then {2**63 - 1}L "
+        f"else greatest(_least, cast(({share}) * {2**64}D as bigint)) end as _level",
+    )
+    # One row for each class of the model.
+    few = rows.join(F.broadcast(levels), "lang").where("_place <= _level")
+    by_language = Window.partitionBy("lang").orderBy("_place", "doc_id")
+    return (
+        few.select("doc_id", "lang", "_place")
+        .distinct()
+        .withColumn("_rank", F.row_number().over(by_language))
+        .where(F.col("_rank") <= sample_rows)
+        .select("doc_id", "lang")
+    )
+
+
 def _sparse(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         ids, languages, buckets, counts = [], [], [], []
