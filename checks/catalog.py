@@ -260,6 +260,15 @@ def completeness_one_day(spark, sf):
     return _text(quality.completeness(given.trades(spark, sf), given.EXPECTED_SYMBOLS, DAY))
 
 
+def completeness_files(spark, sf):
+    """Rows and files of each symbol and day in a table that was written by partition."""
+    path = run_folder(spark, "completeness")
+    trades = given.trades(spark, sf)
+    sinks.write_table(trades, path)
+    table = quality.with_source_file(sources.read_table(spark, path, trades.schema))
+    return _text(quality.completeness(table, given.EXPECTED_SYMBOLS))
+
+
 def missing_symbols(spark, sf):
     return _text(quality.missing_symbols(given.trades(spark, sf), given.EXPECTED_SYMBOLS))
 
@@ -421,6 +430,7 @@ QUERIES = {
     "latest_per_key": latest_per_key,
     "completeness": completeness,
     "completeness_one_day": completeness_one_day,
+    "completeness_files": completeness_files,
     "missing_symbols": missing_symbols,
     "profile": profile,
     "value_counts": value_counts,

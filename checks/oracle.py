@@ -321,6 +321,12 @@ latest as (
     "completeness_one_day": _with(
         TRADES, _EXPECTED, _COMPLETENESS.format("where event_date = date '2024-01-10'")
     ),
+    # One file per partition: none of these is larger than a file may be.
+    "completeness_files": _with(
+        TRADES,
+        _EXPECTED,
+        f"select *, least(n_rows, 1) as n_files from ({_COMPLETENESS.format('')})",
+    ),
     "missing_symbols": _with(
         TRADES,
         _EXPECTED,
