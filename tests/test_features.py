@@ -86,15 +86,31 @@ def _random_trades(make_trades, seed, spread, hot):
 )
 def test_hot_keys_cut_into_slices_give_the_same_rows(make_trades, target, spread, hot):
     trades = _random_trades(make_trades, target, list(spread), hot)
-    cut_up = slices.with_slices(
-        trades, slices.hot_keys(trades, KEYS, "timestamp_parsed", target), KEYS, "timestamp_parsed"
-    ).where(F.col("symbol").eqNullSafe(F.lit(hot)))
-    assert (cut_up.select(slices.SLICE).distinct().count() > 1) == (len(spread) > 1)
+    points = slices.split_points(trades, KEYS, ORDER_COLUMNS, target)
+    cut_up = slices.with_slices(trades, points, KEYS, ORDER_COLUMNS).where(
+        F.col("symbol").eqNullSafe(F.lit(hot))
+    )
+    per_slice = [r["count"] for r in cut_up.groupBy(slices.SLICE).count().collect()]
+    assert len(per_slice) > 1 and max(per_slice) <= 2 * target
     whole = rolling.rolling_features(trades).orderBy("id").collect()
     cut = rolling.rolling_features(trades, target_rows=target).orderBy("id").collect()
     assert cut == whole
 
 
+@pytest.mark.parametrize("instant", [5, None], ids=["one instant", "NULL"])
+def test_no_slice_of_a_burst_exceeds_twice_the_target(spark, instant):
+    rows = [("A", "2025-05-02", n if n < 10 else instant, n * 7919 % 1000) for n in range(1000)]
+    data = spark.createDataFrame(rows, "symbol string, event_date string, t bigint, id bigint")
+    points = slices.split_points(data, KEYS, ["t", "id"], 50)
+    cut = slices.with_slices(data, points, KEYS, ["t", "id"])
+    per_slice = [r["count"] for r in cut.groupBy(slices.SLICE).count().collect()]
+    assert max(per_slice) <= 100
+    numbered = slices.number_rows(data, KEYS, ["t", "id"], "n", target_rows=50)
+    order = sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[3]))
+    got = [(r.t, r.id) for r in numbered.orderBy("n").collect()]
+    assert got == [r[2:] for r in order]
+
+
 @pytest.mark.parametrize("spread", [[5], [0, 1, 19_999]], ids=["one instant", "clumped"])
 def test_even_slices_split_any_distribution(make_trades, spread):
     trades = _random_trades(make_trades, 9, spread, "HOT")

@@ -30,9 +30,9 @@ def rolling_features(
         rows, ends = trades, trades.select(*columns, slices.SLICE)
     else:
         source = trades if source is None else source
-        hot = slices.hot_keys(source, KEYS, ORDER_COLUMNS[0], target_rows)
-        rows = slices.with_slices(trades, hot, KEYS, ORDER_COLUMNS[0])
-        ends = slices.with_slices(source.select(*columns), hot, KEYS, ORDER_COLUMNS[0], "inner")
+        points = slices.split_points(source, KEYS, ORDER_COLUMNS, target_rows)
+        rows = slices.with_slices(trades, points, KEYS, ORDER_COLUMNS)
+        ends = slices.with_slices(source.select(*columns), points, KEYS, ORDER_COLUMNS, "inner")
     earlier = slices.previous_rows(ends, KEYS, ORDER_COLUMNS, ["price", "size"], PRECEDING)
 
     frame = (

@@ -5,29 +5,47 @@ hold a large share of all rows. The helpers here cut such hot keys into slices t
 follow the order column, so each task gets a bounded part, and give back exactly
 what the whole-key window would give:
 
+* ``split_points`` finds where to cut: hot keys into equal stretches, overfull stretches
+  at quantiles of the order column, overfull single values at quantiles of the next one;
 * ``with_slices`` puts a slice number on every row (0 for keys that are not hot);
 * ``previous_rows`` fetches the few rows just before each slice, for frames that
   look back a fixed number of rows;
 * ``slice_offsets`` counts the rows before each slice, for running row numbers.
 
-The table of hot keys is broadcast. It has at most rows / target_rows rows, since
-each of its keys holds more than target_rows rows.
+The three tables of split points are broadcast. Each has at most rows / target_rows
+rows, since each of its groups holds more than target_rows rows, and a row holds no
+more than ``QUANTILES`` numbers.
 """
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import NumericType, TimestampType
 
 from tickforge.session import stage
 
 #: Rows a single window task should hold, about 200-400 MB for trade rows.
 TARGET_ROWS = 2_000_000
 
+#: A stretch or a single value is cut into so many parts at most, by quantiles.
+QUANTILES = 64
+
 SLICE = "_slice"
 _BOUNDS = ["_low", "_span", "_parts"]
+#: Doubles below this hold whole numbers exactly, so equal ones are one value.
+_EXACT = 2**53
+
+
+@dataclass(frozen=True)
+class SplitPoints:
+    """Where hot keys are cut. ``ties`` is None if the order cannot split a single value."""
+
+    hot: DataFrame
+    cuts: DataFrame
+    ties: DataFrame | None
 
 
 def _position(df: DataFrame, order: str) -> str:
@@ -36,6 +54,11 @@ def _position(df: DataFrame, order: str) -> str:
     return f"cast({f'unix_micros({order})' if is_time else order} as double)"
 
 
+def _place(df: DataFrame, order: str) -> str:
+    """``_position`` with NULL first, as in an ascending order."""
+    return f"coalesce({_position(df, order)}, double('-infinity'))"
+
+
 def _join_small(df: DataFrame, small: DataFrame, on, how: str) -> DataFrame:
     """Broadcast join where NULL keys match, as they do in a window's partitions."""
     names = {name: f"_match_{name}" for name in on}
@@ -65,20 +88,85 @@ def hot_keys(df: DataFrame, keys, order: str, target_rows: int = TARGET_ROWS) ->
     )
 
 
-def with_slices(df: DataFrame, hot: DataFrame, keys, order: str, how: str = "left") -> DataFrame:
-    """Add ``_slice``. ``how='inner'`` keeps the rows of hot keys only."""
+def split_points(
+    df: DataFrame, keys, order_by, target_rows: int = TARGET_ROWS
+) -> SplitPoints:
+    """Split points that follow ``order_by``, so that a burst is split as well.
+
+    All are map-side combined aggregates; the second and third read hot keys only, and
+    have nothing to do where there are none. A single value of the first column is split
+    if the second is a number or a timestamp. A slice holds about ``target_rows`` rows, or
+    a sixty-fourth of a stretch or value that holds more than 64 times as many.
+    """
+    keys, (first, *more) = list(keys), list(order_by)[:2]
+    hot = hot_keys(df, keys, first, target_rows)
+    stretches = _with_stretch(df.select(*keys, first, *more), hot, keys, first, "inner")
+    cuts = _quantiles(stretches, [*keys, "_stretch"], first, target_rows)
+    ties = None
+    if more and isinstance(df.schema[more[0]].dataType, (NumericType, TimestampType)):
+        single = _with_part(stretches, cuts, keys, first, "inner").where("_part % 2 = 1")
+        ties = _quantiles(single, [*keys, "_stretch", "_part"], more[0], target_rows)
+    return SplitPoints(hot, cuts, ties)
+
+
+def _with_stretch(df, hot, keys, order, how):
+    """Number of the equal stretch of the order column a row lies in."""
     share = f"({_position(df, order)} - _low) / _span"
-    number = F.expr(f"coalesce(least(floor({share} * _parts), _parts - 1), 0L)")
-    return _join_small(df, hot, keys, how).withColumn(SLICE, number).drop(*_BOUNDS)
+    # ``least`` skips NULL, so an order value of NULL is put first before it.
+    number = F.expr(f"coalesce(least(coalesce(floor({share} * _parts), 0L), _parts - 1), 0L)")
+    return _join_small(df, hot, keys, how).withColumn("_stretch", number).drop(*_BOUNDS)
+
+
+def _quantiles(df, groups, order, target_rows):
+    """Distinct quantiles of every group that holds more than ``target_rows`` rows."""
+    shares = ", ".join(f"{k / QUANTILES}D" for k in range(1, QUANTILES))
+    step = f"greatest(1, {QUANTILES} div ceil(2 * _rows / {target_rows}))"
+    return (
+        df.groupBy(*groups)
+        .agg(
+            F.expr("count(*) as _rows"),
+            F.expr(f"percentile_approx({_place(df, order)}, array({shares}), 1000) as _all"),
+        )
+        .where(F.col("_rows") > target_rows)
+        .selectExpr(
+            *groups, f"array_distinct(filter(_all, (c, i) -> (i + 1) % {step} = 0)) as _cuts"
+        )
+    )
+
+
+def _with_part(df, cuts, keys, order, how):
+    """Part of an overfull stretch: odd for the rows at a quantile, even for those between."""
+    place = _place(df, order)
+    before = f"size(filter(_cuts, c -> c < {place}))"
+    # Of values too large to be told apart as doubles, none counts as a single one.
+    exact = f"({place} between -{_EXACT}D and {_EXACT}D or {place} = double('-infinity'))"
+    single = f"if({exact} and array_contains(_cuts, {place}), 1, 0)"
+    part = F.expr(f"cast(if(_cuts is null, 0, 2 * {before} + {single}) as long)")
+    return _join_small(df, cuts, [*keys, "_stretch"], how).withColumn("_part", part).drop("_cuts")
+
+
+def with_slices(
+    df: DataFrame, points: SplitPoints, keys, order_by, how: str = "left"
+) -> DataFrame:
+    """Add ``_slice``. ``how='inner'`` keeps the rows of hot keys only."""
+    keys, (first, *more) = list(keys), list(order_by)[:2]
+    rows = _with_stretch(df, points.hot, keys, first, how)
+    rows = _with_part(rows, points.cuts, keys, first, "left")
+    tie = "0L"
+    if points.ties is not None:
+        rows = _join_small(rows, points.ties, [*keys, "_stretch", "_part"], "left")
+        before = f"size(filter(_cuts, c -> c < {_place(df, more[0])}))"
+        tie = f"if(_cuts is null, 0, {before})"
+    number = f"(_stretch * {2 * QUANTILES} + _part) * {QUANTILES} + {tie}"
+    return rows.withColumn(SLICE, F.expr(number)).drop("_stretch", "_part", "_cuts")
 
 
 def even_slices(
     df: DataFrame, keys, order_by, target_rows: int = TARGET_ROWS, purpose: str = "slices"
 ) -> DataFrame:
-    """Slices of about equal row count, however the order column is distributed.
+    """Slices of about equal row count from one range partitioning of all rows.
 
-    ``with_slices`` cuts a day into equal stretches of time, which a burst can
-    overfill. Here Spark range-partitions all rows by key and the whole order, and
+    ``with_slices`` cuts hot keys alone and writes nothing. Here Spark range-partitions all rows by key and the whole order, and
     the partition number is the slice. Sampled ranges differ between evaluations, so
     the rows are written once to fix them; that is the price. Operators take a
     DataFrame that already has slices as it is.
@@ -117,7 +205,7 @@ def previous_rows(sliced: DataFrame, keys, order_by, carry, rows: int) -> DataFr
 
 
 def slice_offsets(sliced: DataFrame, keys) -> DataFrame:
-    """Rows before each slice of a hot key; at most 3 * rows / target_rows rows."""
+    """Rows before each slice of a hot key; a small multiple of rows / target_rows rows."""
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     return (
         sliced.groupBy(*keys, SLICE)
@@ -132,15 +220,16 @@ def number_rows(
 ) -> DataFrame:
     """1-based row number per key in the given order, hot keys split.
 
-    ``order_by`` starts with a long or timestamp column and must be a total order.
+    ``order_by`` starts with a long or timestamp column and must be a total order. A second
+    column of such a type lets single values of the first be split.
     """
     keys, order_by = list(keys), list(order_by)
     if SLICE in df.columns:
         sliced = counted = df
     else:
-        hot = hot_keys(df, keys, order_by[0], target_rows)
-        sliced = with_slices(df, hot, keys, order_by[0])
-        counted = with_slices(df.select(*keys, order_by[0]), hot, keys, order_by[0], "inner")
+        points = split_points(df, keys, order_by, target_rows)
+        sliced = with_slices(df, points, keys, order_by)
+        counted = with_slices(df.select(*keys, *order_by[:2]), points, keys, order_by, "inner")
     offsets = slice_offsets(counted, keys)
     within = Window.partitionBy(*keys, SLICE).orderBy(*order_by)
     return (
