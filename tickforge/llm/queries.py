@@ -3,7 +3,9 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tickforge.llm import bpe, chat, decontam, langid, lmscore, neardup, pii, quality, topk, warc
+from tickforge.llm import (
+    bpe, chat, decontam, langid, lmscore, mixing, neardup, negatives, pii, quality, topk, trie, warc,
+)
 from tickforge.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -69,11 +71,27 @@ def op10_lm_score(spark, sf_dir):
     return lmscore.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
+def op11_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(vectors.where("vec_id % 100 = 0"), vectors)
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_bpe, op2_near_duplicates, op3_quality, op4_decontaminate, op5_chat, op6_topk,
-        op7_pii, op8_warc, op9_language, op10_lm_score,
+        op7_pii, op8_warc, op9_language, op10_lm_score, op11_mixing, op12_hard_negatives,
+        op13_prefix_trie,
     )
 }
 
@@ -159,4 +177,80 @@ SQL = {
             case when page_id <> last then last end as refers_to
         from (select *, max(page_id) over (partition by payload) as last from hashed)
     """,
+    "op12_hard_negatives": """
+        with usable as (
+            select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+            from embeddings
+            where vec_id is not null and label is not null and len(embedding) > 0 and len(list_filter(
+                embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scored as (
+            select a.id as anchor_id, r.id, a.label = r.label as same, cast(list_sum(list_transform(
+                list_zip(a.v, r.v), lambda p: p[1] * p[2])) as bigint) as score
+            from usable a join usable r on a.id <> r.id and len(a.v) = len(r.v)
+            where a.id % 100 = 0),
+        positives as (
+            select anchor_id, id, score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+        select p.anchor_id, p.id as positive_id, cast(row_number() over best as int) as rank,
+            n.id as negative_id, p.score as positive_score, n.score as negative_score
+        from positives p join scored n on p.anchor_id = n.anchor_id and not n.same
+            and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score
+        window best as (partition by p.anchor_id, p.id order by n.score desc, n.id)
+        qualify row_number() over best <= 5
+    """,
+    "op13_prefix_trie": """
+        with turns as (
+            select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                row_number() over (partition by conv_id order by turn nulls first, sha256(
+                    length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as place
+            from conversations where conv_id is not null),
+        heads as (
+            select conv_id, (4294967295 - list_reduce(
+                flatten(list_transform(list_transform(range(1, strlen(conv_id::varchar) + 1),
+                    lambda i: ascii(substr(conv_id::varchar, i, 1))::bigint),
+                    lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1])),
+                lambda crc, b: case when b >= 0 then xor(crc, b)
+                    else xor(crc >> 1, (crc & 1) * 3988292384) end, 4294967295)) % 9 as head
+            from (select distinct conv_id from turns)),
+        lent as (
+            select h.conv_id, t.place, t.role, t.text
+            from heads h join turns t on t.conv_id = h.conv_id - h.conv_id % 5 and t.place <= h.head),
+        said as (
+            select conv_id, 0 as own, place, role, text from lent
+            union all select t.conv_id, 1, t.place, t.role, t.text
+            from turns t join heads h using (conv_id) where t.place > h.head),
+        placed as (
+            select *, row_number() over (partition by conv_id order by own, place) as depth from said),
+        rolled as (
+            select conv_id, depth, strlen(text) as bytes, string_agg(
+                length(role) || ':' || role || length(text) || ':' || text, ''
+                ) over (partition by conv_id order by depth) as sofar
+            from placed),
+        along as (
+            select conv_id, depth, bytes, sha256(sofar) as key from rolled
+            union all select conv_id, 0, 0, '' from heads),
+        ended as (select conv_id, max(depth) as last from along group by conv_id),
+        nodes as (
+            select key, depth, min(conv_id) as conv_id, count(*) as n_convs,
+                (count(*) - 1) * min(bytes) as saved,
+                sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id)
+                    filter (depth = last), '')) as ends_sha256
+            from along join ended using (conv_id)
+            group by key, depth),
+        steps as (
+            select distinct b.key, a.key as parent
+            from along a join along b on a.conv_id = b.conv_id and b.depth = a.depth + 1),
+        children as (select parent as key, count(*) as n_children from steps group by parent),
+        below as (
+            select a.key, count(*) filter (c.n_children is null) as n_leaves, sum(n.saved) as saved
+            from nodes n join along a on a.conv_id = n.conv_id and a.depth <= n.depth
+                left join children c on c.key = n.key
+            group by a.key)
+        select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs,
+            coalesce(c.n_children, 0) as n_children, b.n_leaves,
+            cast(b.saved as bigint) as saved_tokens, n.ends_sha256
+        from nodes n join below b on b.key = n.key left join children c on c.key = n.key
+            left join steps s on s.key = n.key left join nodes p on p.key = s.parent
+    """,
 }

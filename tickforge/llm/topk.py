@@ -1,126 +1,61 @@
 """Exact top-k by inner product with Fagin's threshold algorithm.
 
-Candidates are dealt over tasks as they are read. A task sorts its block once per dimension;
-for each query it walks all lists in step (from the end that the query's sign favours),
-scores what it meets for the first time in full, and stops when no unseen vector can reach
-the kth score. The kth score of earlier blocks carries over. Each task gives its k best for
-each query; a ranking of those is exact. Queries are taken in blocks of bounded size.
+Queries and candidates are dealt over tasks in blocks. A task sorts each block of candidates
+once per dimension and walks all lists in step for many queries at once (from the end that
+a query's sign favours), scores what is met for the first time in full, and drops a query
+from the walk when no unseen vector can reach its kth score. The kth score carries over from
+block to block. Each task gives its k best for each query; a ranking of those is exact.
 """
 
-from collections.abc import Iterator
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge.llm.common import Scratch, pick
-
-#: Queries that one pass over the candidates answers: the size of what is broadcast.
-QUERY_ROWS = 4096
-#: Candidates that are sorted together, and list entries taken in one step.
-BLOCK_ROWS = 8192
-STEP = 48
-
-_ENDS = np.iinfo(np.int64)
-
-
-def usable(df: DataFrame, id_column: str, vector: str) -> DataFrame:
-    """(id, v): rows with an id and a vector of finite numbers, as floor(64 * x)."""
-    rows = pick(df, id=id_column, vector=vector).where("id is not null and size(vector) > 0")
-    finite = F.forall(
-        "vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    )
-    whole = F.transform("vector", lambda x: F.floor(F.lit(64.0) * x.cast("double")).cast("long"))
-    return rows.where(finite).select(F.col("id").cast("long").alias("id"), whole.alias("v"))
-
-
-class ThresholdLists:
-    """One block of vectors, sorted by every dimension."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        order = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[order], vectors[order]
-        self.order = np.argsort(self.vectors, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(self.vectors, self.order, axis=0)
-
-    def best(self, query: np.ndarray, own: int, k: int, least: int):
-        """(ids, scores) of the k best, own id left out; ``least`` is a score already reached
-        k times elsewhere, so worse ones need not be found."""
-        n, down = len(self.ids), query >= 0
-        seen = self.ids == own
-        ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        used = np.flatnonzero(query)
-        for depth in range(0, n, STEP):
-            span = np.arange(depth, min(depth + STEP, n))
-            met = np.concatenate(
-                [self.order[n - 1 - span][:, used[down[used]]].ravel()]
-                + [self.order[span][:, used[~down[used]]].ravel()]
-            )
-            if not len(used):  # a query of zeros: every score is 0, ids decide
-                met = np.arange(n)
-            fresh = np.zeros(n, bool)
-            fresh[met] = True
-            fresh &= ~seen
-            seen |= fresh
-            fresh = np.flatnonzero(fresh)
-            if len(fresh):
-                ids = np.concatenate([ids, self.ids[fresh]])
-                scores = np.concatenate([scores, self.vectors[fresh] @ query])
-                if len(ids) > k:
-                    keep = np.lexsort((ids, -scores))[:k]
-                    ids, scores = ids[keep], scores[keep]
-            if seen.all():
-                break
-            edge = np.where(down, self.sorted[n - 1 - span[-1]], self.sorted[span[-1]])
-            bound = int(edge @ query)
-            # An unseen vector that only equals the kth score may still win by its id.
-            if bound < max(least, int(scores.min()) if len(ids) >= k else _ENDS.min):
-                break
-        return ids, scores
-
-
-def _search(queries, k):
-    def run(batches: Iterator[pa.RecordBatch]):
-        query_ids, query_vectors = queries.value
-        kept: dict[int, tuple] = {}
-
-        def flush(ids, vectors):
-            sizes = np.array([len(v) for v in vectors])
-            for size in np.unique(sizes):
-                rows = np.flatnonzero(sizes == size)
-                matrix = np.array([vectors[r] for r in rows], np.int64)
-                lists = ThresholdLists(np.array([ids[r] for r in rows], np.int64), matrix)
-                for q, (own, query) in enumerate(zip(query_ids, query_vectors)):
-                    if len(query) != size:
-                        continue
-                    had = kept.get(q)
-                    full = had is not None and len(had[0]) >= k
-                    new = lists.best(query, own, k, int(had[1].min()) if full else _ENDS.min)
-                    if had is not None:
-                        new = tuple(np.concatenate(x) for x in zip(had, new))
-                    top = np.lexsort((new[0], -new[1]))[:k]
-                    kept[q] = (new[0][top], new[1][top])
-
-        ids, vectors = [], []
-        for batch in batches:
-            ids += batch.column(0).to_pylist()
-            vectors += batch.column(1).to_pylist()
-            if len(ids) >= BLOCK_ROWS:
-                flush(ids, vectors)
-                ids, vectors = [], []
-        if ids:
-            flush(ids, vectors)
-        for q, (found, scores) in kept.items():
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(found), query_ids[q])),
-                    pa.array(found),
-                    pa.array(scores),
-                ],
-                names=["query_id", "vec_id", "score"],
-            )
+from tickforge.llm.fagin import (
+    BLOCK_ROWS, WALKERS, Best, Lists, deal, highest, matrices, products, score_columns, usable,
+)
+
+#: Components count as floor(SCALE * x).
+SCALE = 64
+
+
+def search(lists: Lists, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, slots, best: Best):
+    """Walk one block for the queries of ``slots``; the number of rows met."""
+
+    def score(rows, walkers):
+        found = products(lists.vectors[rows], queries[walkers])
+        for line in np.flatnonzero(np.isin(own[walkers], ids[rows])):
+            found[line, ids[rows] == own[walkers[line]]] = -np.inf
+        least = best.kth[slots[walkers]]
+        if (least == -np.inf).any():
+            least = np.maximum(least, highest(found, best.k))
+        line, row = np.nonzero((found >= least[:, None]) & (found > -np.inf))
+        best.add(slots[walkers[line]], found[line, row], ids[rows[row]])
+        return best.kth[slots[walkers]]
+
+    return lists.walk(queries, score)
+
+
+def _best_of_part(k: int, names):
+    def run(asked: pa.Table, met: pa.Table) -> pa.Table:
+        own, ids = (t.column("id").to_numpy() for t in (asked, met))
+        best = Best(len(own), k)
+        if len(own) and len(ids):
+            queries = list(matrices(asked.column("vector"), SCALE))
+            for rows, vectors in matrices(met.column("vector"), SCALE):
+                for first in range(0, len(rows), BLOCK_ROWS):
+                    block = slice(first, first + BLOCK_ROWS)
+                    lists, block_ids = Lists(vectors[block]), ids[rows[block]]
+                    for slots, wanted in queries:
+                        if wanted.shape[1] != vectors.shape[1]:
+                            continue
+                        for start in range(0, len(slots), WALKERS):
+                            part = slots[start : start + WALKERS]
+                            search(lists, block_ids, wanted[start : start + WALKERS], own[part], part, best)
+        columns = [pa.array(own[best.slot], pa.int64()), pa.array(best.id, pa.int64())]
+        return pa.table([*columns, *score_columns(best.score)], names=names)
 
     return run
 
@@ -132,26 +67,22 @@ def top_k(queries: DataFrame, df: DataFrame, k=20, id_column="vec_id", vector="e
     smaller vec_id, and a query's own id is no candidate. Vectors that are null, empty, hold
     null or non-finite components, or have no id take no part; vectors of another length
     than the query are no candidates for it. Of query rows that repeat an id the one with
-    the smallest vector is asked; candidates that repeat an id are ranked once each.
+    the smallest vector is asked; candidates that repeat an id are ranked once each. Scores
+    are compared exactly; one outside the range of a long is returned as the nearer end.
     """
+    doubles = F.transform("vector", lambda x: x.cast("double")).alias("vector")
+
+    def vectors(rows):
+        rows = pick(rows, id=id_column, vector=vector)
+        return rows.where(usable(rows)).select(F.col("id").cast("long").alias("id"), doubles)
+
     with Scratch(df.sparkSession, "topk") as scratch:
-        asked = usable(queries, id_column, vector).groupBy("id").agg(F.min("v").alias("v"))
-        rows = asked.count()
-        blocks = max(1, -(-rows // QUERY_ROWS))
-        asked = scratch.keep(
-            asked.repartitionByRange(blocks, "id").withColumn("block", F.spark_partition_id())
-        )
-        candidates = usable(df, id_column, vector)
-        found = []
-        for block in range(blocks):
-            part = asked.where(F.col("block") == block).orderBy("id").toPandas()
-            vectors = [np.array(v, np.int64) for v in part["v"]]
-            sent = df.sparkSession.sparkContext.broadcast((part["id"].to_numpy(np.int64), vectors))
-            found.append(
-                candidates.mapInArrow(_search(sent, k), "query_id bigint, vec_id bigint, score bigint")
-            )
-        best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        ranked = reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(best))
-        return scratch.keep(
-            ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), last=True
+        asked = vectors(queries).groupBy("id").agg(F.min("vector").alias("vector"))
+        names = {"query_id": "bigint", "vec_id": "bigint", "score": "bigint", "beyond": "binary"}
+        left, right = deal(scratch.keep(asked), vectors(df), df.count())
+        found = left.cogroup(right).applyInArrow(
+            _best_of_part(k, list(names)), ", ".join(f"{n} {t}" for n, t in names.items())
         )
+        best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
+        ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return scratch.keep(ranked.select("query_id", "rank", "vec_id", "score"), last=True)
