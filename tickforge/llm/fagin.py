@@ -50,9 +50,10 @@ def products(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """Exact inner products, a line for each query: doubles, or Python integers if too large."""
     if not rows.size or not queries.size:
         return np.zeros((len(queries), len(rows)))
-    largest = int(np.abs(rows).max()) * int(np.abs(queries).max()) * rows.shape[1]
+    most = [max(int(x.max()), -int(x.min())) for x in (rows, queries)]
+    largest = most[0] * most[1] * rows.shape[1]
     if largest <= _EXACT:
-        return queries.astype(float) @ rows.astype(float).T
+        return queries.astype(float, copy=False) @ rows.astype(float, copy=False).T
     return _integers(queries) @ _integers(rows).T
 
 
@@ -99,15 +100,24 @@ class Best:
 
     def __init__(self, slots: int, k: int):
         self.k = k
-        self.kth = np.full(slots, -np.inf)
-        self.slot, self.score, self.id = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        self.scores = np.full((slots, k), -np.inf)
+        self.ids = np.zeros((slots, k), np.int64)
+
+    @property
+    def kth(self) -> np.ndarray:
+        """The kth best score of every slot, minus infinity for slots that are not full."""
+        return self.scores[:, -1]
 
     def add(self, slots: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
         if not len(slots):
             return
-        slot = np.concatenate([self.slot, slots])
-        score = np.concatenate([self.score, scores])
-        ident = np.concatenate([self.id, ids])
+        if scores.dtype == object and self.scores.dtype != object:
+            self.scores = self.scores.astype(object)
+        some = np.unique(slots)
+        line, place = np.nonzero(self.scores[some] > -np.inf)
+        slot = np.concatenate([np.searchsorted(some, slots), line])
+        score = np.concatenate([scores, self.scores[some[line], place]])
+        ident = np.concatenate([ids, self.ids[some[line], place]])
         if score.dtype == object:
             order = sorted(range(len(slot)), key=lambda i: (slot[i], -score[i], ident[i]))
         else:
@@ -115,11 +125,13 @@ class Best:
         slot, score, ident = slot[order], score[order], ident[order]
         place = np.arange(len(slot)) - np.searchsorted(slot, slot)
         keep = place < self.k
-        self.slot, self.score, self.id = slot[keep], score[keep], ident[keep]
-        full = place[keep] == self.k - 1
-        if self.score.dtype == object and self.kth.dtype != object:
-            self.kth = self.kth.astype(object)
-        self.kth[self.slot[full]] = self.score[full]
+        at = some[slot[keep]], place[keep]
+        self.scores[at], self.ids[at] = score[keep], ident[keep]
+
+    def rows(self):
+        """(slot, score, id) of all that was found."""
+        slot, place = np.nonzero(self.scores > -np.inf)
+        return slot, self.scores[slot, place], self.ids[slot, place]
 
 
 def highest(scores: np.ndarray, k: int) -> np.ndarray:

@@ -55,9 +55,10 @@ def _positives(k: int, names):
                             for start in range(0, len(same), WALKERS):
                                 part = same[start : start + WALKERS]
                                 search(lists, ids[rows[block]], wanted[part], own[slots[part]], slots[part], best)
-        columns = [pa.array(own[best.slot], pa.int64()), pa.array(best.id, pa.int64())]
-        exact = pa.array([str(int(s)) for s in best.score], pa.string())
-        return pa.table([*columns, *score_columns(best.score), exact], names=names)
+        slot, scores, found = best.rows()
+        columns = [pa.array(own[slot], pa.int64()), pa.array(found, pa.int64())]
+        exact = pa.array([str(int(s)) for s in scores], pa.string())
+        return pa.table([*columns, *score_columns(scores), exact], names=names)
 
     return run
 
@@ -75,7 +76,7 @@ def mine(lists, ids, labels, queries, own_labels, slots, caps, lows, best):
     def score(rows, walkers):
         found = products(lists.vectors[rows], queries[walkers])
         other = own_labels[walkers][:, None] != labels[rows][None]
-        least = np.full(len(walkers), np.inf, dtype=object if best.kth.dtype == object or found.dtype == object or lows.dtype == object else float)
+        least = np.full(len(walkers), np.inf)
         for w in range(windows):
             places = slots[walkers] * windows + w
             needed = np.maximum(lows[walkers, w], best.kth[places])
@@ -96,9 +97,8 @@ def _negatives(k: int, windows: int, share: int, names):
         scores = [[int(s) for s in line] for line in asked.column("scores").to_pylist()]
         # A missing positive is a window that nothing fits.
         caps = _numbers([s for line in scores for s in [*line, *[-1] * (windows - len(line))]])
-        ends = [-(-share * s // 100) for line in scores for s in line]
-        ends = iter(ends)
-        lows = _numbers([next(ends) if w < len(line) else 0 for line in scores for w in range(windows)])
+        ends = [[-(-share * s // 100) for s in line] for line in scores]
+        lows = _numbers([s for line in ends for s in [*line, *[0] * (windows - len(line))]])
         caps, lows = caps.reshape(-1, windows), lows.reshape(-1, windows)
         best = Best(len(own) * windows, k)
         if len(own) and len(ids):
@@ -117,12 +117,9 @@ def _negatives(k: int, windows: int, share: int, names):
                                 wanted[start : start + WALKERS], theirs[part], part,
                                 caps[part], lows[part], best,
                             )
-        columns = [
-            pa.array(own[best.slot // windows], pa.int64()),
-            pa.array(best.slot % windows, pa.int64()),
-            pa.array(best.id, pa.int64()),
-        ]
-        return pa.table([*columns, *score_columns(best.score)], names=names)
+        slot, scores, found = best.rows()
+        columns = [pa.array(x, pa.int64()) for x in (own[slot // windows], slot % windows, found)]
+        return pa.table([*columns, *score_columns(scores)], names=names)
 
     return run
 

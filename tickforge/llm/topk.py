@@ -31,7 +31,10 @@ def search(lists: Lists, ids: np.ndarray, queries: np.ndarray, own: np.ndarray,
         least = best.kth[slots[walkers]]
         if (least == -np.inf).any():
             least = np.maximum(least, highest(found, best.k))
-        line, row = np.nonzero((found >= least[:, None]) & (found > -np.inf))
+        fits = found >= least[:, None]
+        if (least == -np.inf).any():
+            fits &= found > -np.inf
+        line, row = np.nonzero(fits)
         best.add(slots[walkers[line]], found[line, row], ids[rows[row]])
         return best.kth[slots[walkers]]
 
@@ -54,8 +57,9 @@ def _best_of_part(k: int, names):
                         for start in range(0, len(slots), WALKERS):
                             part = slots[start : start + WALKERS]
                             search(lists, block_ids, wanted[start : start + WALKERS], own[part], part, best)
-        columns = [pa.array(own[best.slot], pa.int64()), pa.array(best.id, pa.int64())]
-        return pa.table([*columns, *score_columns(best.score)], names=names)
+        slot, scores, found = best.rows()
+        columns = [pa.array(own[slot], pa.int64()), pa.array(found, pa.int64())]
+        return pa.table([*columns, *score_columns(scores)], names=names)
 
     return run
 
