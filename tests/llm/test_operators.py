@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
@@ -13,7 +14,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tickforge.llm import bpe, chat, decontam, gbt, langid, lmscore, neardup, pii, quality, topk, warc
+from tickforge.llm import bpe, chat, decontam, fagin, gbt, langid, lmscore, neardup, pii, quality, topk, warc
 from tickforge.llm.common import Scratch
 from tickforge.llm.graph import components
 from tickforge.llm.queries import TOKENIZER
@@ -219,12 +220,26 @@ def test_top_k_matches_brute_force(spark):
 
 
 def test_threshold_lists_stop_early():
-    vectors = np.random.default_rng(3).integers(-50, 50, (5000, 2))
-    lists = topk.ThresholdLists(np.arange(5000), vectors)
-    seen = []
-    lists.vectors = type("Counting", (), {"__getitem__": lambda _, k: (seen.append(len(k)), vectors[k])[1]})()
-    lists.best(np.array([3, -2]), -1, 5, topk._ENDS.min)
-    assert sum(seen) < 1000
+    vectors = np.random.default_rng(3).integers(-50, 50, (5000, 2)).astype(float)
+    ids, queries = np.arange(5000), np.array([[3.0, -2.0], [1.0, 4.0]])
+    best = fagin.Best(2, 5)
+    met = topk.search(fagin.Lists(vectors), ids, queries, np.array([-1, -1]), np.arange(2), best)
+    assert met < 1000
+    for slot, query in enumerate(queries):
+        scores = vectors @ query
+        assert best.ids[slot].tolist() == sorted(ids, key=lambda n: (-scores[n], n))[:5]
+
+
+def test_scores_beyond_a_long_are_compared_exactly(spark):
+    rows = [[1e20, 0.0], [3e18, 1.0], [-1e20, 2.0], [1e20, 1.0], [1e300, 1e308], [0.5, 0.25], [0.0, 0.0]]
+    table = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    whole = [[int(x) * 64 if abs(x) > 1e300 else math.floor(64 * x) for x in row] for row in rows]
+    found = topk.top_k(table, table, k=6).collect()
+    for q, query in enumerate(whole):
+        scores = [(-sum(a * b for a, b in zip(query, w)), n) for n, w in enumerate(whole) if n != q]
+        held = lambda s: max(-(2**63), min(2**63 - 1, s))
+        want = [(k + 1, n, held(-s)) for k, (s, n) in enumerate(sorted(scores))]
+        assert sorted((r["rank"], r.vec_id, r.score) for r in found if r.query_id == q) == want
 
 
 # 7. Personal data

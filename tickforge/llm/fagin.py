@@ -52,7 +52,7 @@ def products(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
         return np.zeros((len(queries), len(rows)))
     most = [max(int(x.max()), -int(x.min())) for x in (rows, queries)]
     largest = most[0] * most[1] * rows.shape[1]
-    if largest <= _EXACT:
+    if max(largest, *most) <= _EXACT:
         return queries.astype(float, copy=False) @ rows.astype(float, copy=False).T
     return _integers(queries) @ _integers(rows).T
 

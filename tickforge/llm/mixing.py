@@ -26,6 +26,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 #: Words that the dynamic programme fits, after even shares of all lengths and single documents.
 FIT_WORDS = 8192
+#: A budget up to this is fitted whole if even shares of a source's few, long documents miss it.
+WHOLE_FIT_WORDS = 1_000_000
 
 
 def word_count(text: str) -> F.Column:
@@ -42,27 +44,38 @@ def fill_budget(lengths: list[int], counts: list[int], budget: int) -> list[int]
     words = sum(n * length for n, length in zip(counts, lengths))
     if not words:
         return [0] * len(lengths)
-    taken = [n * max(0, budget - FIT_WORDS) // words for n in counts]
-    left = budget - sum(t * length for t, length in zip(taken, lengths))
-    for i in reversed(range(len(lengths))):
-        if left <= FIT_WORDS:
-            break
-        more = min(counts[i] - taken[i], (left - FIT_WORDS) // lengths[i])
-        taken[i] += more
-        left -= more * lengths[i]
-    spare = [n - t for n, t in zip(counts, taken)]
+    even = [n * max(0, budget - FIT_WORDS) // words for n in counts]
+    left = budget - sum(t * length for t, length in zip(even, lengths))
+    before = None
+    while left > FIT_WORDS and left != before:  # one more of each length that still fits
+        before = left
+        for i in reversed(range(len(lengths))):
+            if even[i] < counts[i] and lengths[i] <= left - FIT_WORDS:
+                even[i] += 1
+                left -= lengths[i]
+    taken, miss = _fitted(lengths, counts, even, left)
+    if miss and any(even) and budget <= WHOLE_FIT_WORDS:
+        other, less = _fitted(lengths, counts, [0] * len(lengths), budget)
+        taken = other if less < miss else taken
+    return taken
+
+
+def _fitted(lengths, counts, taken, left):
+    """Counts that the programme adds to, and by how much they miss."""
+    taken, spare = list(taken), [n - t for n, t in zip(counts, taken)]
     for i, more in _knapsack(lengths, spare, left):
         taken[i] += more
-    return taken
+        left -= more * lengths[i]
+    return taken, abs(left)
 
 
 def _knapsack(lengths, spare, budget):
     """(place, copies) pairs whose sum is nearest to ``budget``; the smaller of equally near."""
-    smallest = next((length for length, n in zip(lengths, spare) if n), None)
-    if budget <= 0 or smallest is None:
+    largest = max((length for length, n in zip(lengths, spare) if n), default=0)
+    if budget <= 0 or not largest:
         return
-    # One document beyond the budget is never nearer than the smallest one beyond it.
-    size = budget + smallest + 1
+    # A sum that is more than a document above the budget, or more than twice it, is not nearest.
+    size = budget + min(budget, largest) + 1
     reached, by, items = np.zeros(size, bool), np.full(size, -1, np.int64), []
     reached[0] = True
     for i, (length, n) in enumerate(zip(lengths, spare)):
