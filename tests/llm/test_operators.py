@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tickforge.llm import bpe, chat, decontam, fagin, gbt, langid, lmscore, neardup, pii, quality, topk, warc
-from tickforge.llm.common import Scratch
+from tickforge.llm.common import Scratch, rows_of, rows_without
 from tickforge.llm.graph import components
 from tickforge.llm.queries import TOKENIZER
+from tickforge.llm.shingles import shingle_set
 
 PATH = public_tokenizers.path(TOKENIZER)
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, ids string, key int"
@@ -118,6 +119,39 @@ def test_near_duplicates_of_odd_tables(spark):
     assert neardup.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_mixed_buckets_match_brute_force(spark):
+    """Variants of one text around the threshold: buckets whose members are partly linked."""
+    random.seed(8)
+    base = words(5, 60).split()
+    texts = []
+    for _ in range(260):
+        copy = list(base)
+        for at in random.sample(range(60), random.choice([1, 2, 3, 4, 5, 9])):
+            copy[at] = f"w{random.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    rows = neardup.near_duplicates(docs(spark, *texts), words=2, percent=80).collect()
+    roots = dict(enumerate(root for _, root in brute_components(texts, 2)))
+    assert {r.doc_id: r.component_id for r in rows} == roots and len(set(roots.values())) > 20
+
+
+def test_long_words_that_sums_cannot_tell_apart():
+    thue = "a"
+    for _ in range(11):
+        thue += thue.translate(str.maketrans("ab", "ba"))
+    other = thue.translate(str.maketrans("ab", "ba"))
+    assert len(thue) == 2048 and shingle_set(thue, 2)[0] != shingle_set(other, 2)[0]
+    assert shingle_set("x " + thue.upper(), 2)[0] == shingle_set("X " + thue, 2)[0]
+
+
+def test_rows_are_found_and_left_by_filtered_ids(spark):
+    table = spark.createDataFrame([(n % 100 if n < 150 else None, n) for n in range(160)], "id long, word long")
+    ids = table.where("id < 30").select("id")
+    with Scratch(spark, "filter") as scratch:
+        assert sorted(r.word for r in rows_of(table, ids, "id", scratch).collect()) == [n for n in range(150) if n % 100 < 30]
+        assert sorted(r.word for r in rows_without(table, ids, "id", scratch).collect()) == [n for n in range(160) if n % 100 >= 30 or n >= 150]
+        assert rows_without(table, ids.limit(0), "id", scratch).count() == 160
+
+
 def test_sketches_estimate_and_merge():
     random.seed(2)
     pool = np.random.default_rng(0).integers(0, 1 << 63, 900).astype(np.uint64)

@@ -74,3 +74,43 @@ class Scratch:
         path = f"{self.root}/{'result' if last else 'steps'}/{self.count}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+
+#: Bits of a filter of ids, whatever the number of ids.
+FILTER_BITS = 1 << 24
+
+
+def id_marks(ids: DataFrame, column: str, scratch) -> DataFrame:
+    """A filter of the ids in ``column``: (word, bits), at most ``FILTER_BITS`` / 62 rows."""
+    place = F.expr(f"xxhash64({column}) & {FILTER_BITS - 1}L")
+    bit = F.expr("shiftleft(1L, cast(p % 62 as int))")
+    words = ids.select(place.alias("p")).groupBy(F.expr("p div 62").alias("word"))
+    return scratch.keep(words.agg(F.bit_or(bit).alias("bits")))
+
+
+def maybe_in(df: DataFrame, marks: DataFrame, column: str) -> tuple[DataFrame, F.Column]:
+    """(joined, condition): ``df`` beside its words of the filter, and whether an id is marked.
+
+    Every id that was marked is found; of others about as many pass as bits are set. Rows
+    are not shuffled: the filter is broadcast, its size is fixed. Null ids pass if marked.
+    """
+    place = f"(xxhash64({column}) & {FILTER_BITS - 1}L)"
+    at = df.withColumn("_word", F.expr(f"{place} div 62"))
+    joined = at.join(F.broadcast(marks.toDF("_word", "_bits")), "_word", "left")
+    found = F.expr(f"coalesce((shiftright(_bits, cast({place} % 62 as int)) & 1) = 1, false)")
+    return joined, found
+
+
+def rows_of(df: DataFrame, ids: DataFrame, column: str, scratch) -> DataFrame:
+    """Rows whose id is in ``ids``: only those that pass a filter of fixed size are shuffled."""
+    joined, found = maybe_in(df, id_marks(ids, column, scratch), column)
+    some = joined.where(found).select(df.columns)
+    return some.join(ids.select(column).distinct().hint("merge"), column, "left_semi")
+
+
+def rows_without(df: DataFrame, ids: DataFrame, column: str, scratch) -> DataFrame:
+    """Rows whose id is not in ``ids``, null ones too; rows that the filter clears stay put."""
+    joined, found = maybe_in(df, id_marks(ids, column, scratch), column)
+    unsure = joined.where(found).select(df.columns)
+    gone = ids.select(column).distinct().hint("merge")
+    return joined.where(~found).select(df.columns).union(unsure.join(gone, column, "left_anti"))

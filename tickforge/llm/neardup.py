@@ -7,11 +7,12 @@
 2. Documents with equal sets form a class; its smallest id stands for it from here on.
 3. Eight registers make a band, 64 bands in all. Two sets at similarity 0.8 share no band
    with probability 9e-7. Representatives with equal bands meet in a bucket.
-4. Candidates are first compared with the smallest member of a bucket, so that a bucket of
-   any size costs one comparison for each member. Members that are then still outside their
-   leader's component are held against all members of other components, in blocks of
-   bounded size within tasks. Sketches meet there, then the full sets of those that may be
-   links; only links become rows of pairs. Nothing is left out.
+4. Candidates are first compared with the smallest member of a bucket, its leader, so that a
+   bucket of any size costs one comparison for each member. Members that are then still
+   outside their leader's component are held against all members of other components that
+   have the same leader, once for all buckets of that leader, in blocks of bounded size
+   within tasks. Those that share a band are estimated there, then the full sets of what may
+   be links are compared; only links become rows of pairs. Nothing is left out.
 5. A candidate's similarity is estimated by maximum likelihood from the registers that are
    smaller, equal and larger, jointly with the known set sizes. What may reach the
    threshold is decided on the full sets.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import Scratch, pick
+from tickforge.llm.common import Scratch, pick, rows_of
 from tickforge.llm.graph import components
 from tickforge.llm.shingles import mix, shingle_set
 
@@ -39,8 +40,8 @@ RATE = 20.0
 LARGEST = 255
 #: Estimates below this go no further; more than five deviations below a true 0.8.
 LEAST_ESTIMATE = 0.7
-#: Members of a bucket that one block of a task holds, on average.
-BLOCK_ROWS = 256
+#: Members of a leader's buckets that one block of a task holds, on average.
+BLOCK_ROWS = 512
 
 _RANDOM = np.random.default_rng(77)
 _XOR = _RANDOM.integers(0, 1 << 32, REGISTERS, np.uint32)
@@ -191,7 +192,7 @@ def _pair_links(pairs, candidates, words, percent):
 
     def beside(df, side, *columns):
         own = candidates.selectExpr(f"node as {side}", *[f"{c} as {c}_{side}" for c in columns])
-        return df.join(own, side)
+        return df.join(own.hint("merge"), side)
 
     sized = beside(beside(pairs, "a", "n", "registers"), "b", "n", "registers").where(
         f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
@@ -231,17 +232,17 @@ def near_duplicates(
             .where("node is not null")
         )
         buckets = _buckets(sketches, classes, scratch)
-        # These ids grow with the corpus: a shuffle at every size, never a broadcast.
-        ids = buckets.select(F.col("node").alias("doc_id")).distinct().hint("merge")
+        ids = buckets.select(F.col("node").alias("doc_id"))
         candidates = scratch.keep(
-            docs.join(ids, "doc_id", "left_semi").mapInArrow(
+            rows_of(docs, ids, "doc_id", scratch).mapInArrow(
                 _with_registers(words), "node bigint, n bigint, registers binary, text string"
             ).where("n > 0")
         )
         closed = _closed(buckets, candidates, words, percent, scratch)
-        named = sketches.select("doc_id", "n", "print").join(classes, "print", "left")
+        # Tables of ids grow with the corpus: shuffled at every size, never broadcast.
+        named = sketches.select("doc_id", "n", "print").join(classes.hint("merge"), "print", "left")
         named = scratch.keep(named.select("doc_id", "n", F.coalesce("node", "doc_id").alias("node")))
-        rows = named.join(closed, "node", "left").select(
+        rows = named.join(closed.hint("merge"), "node", "left").select(
             "doc_id",
             F.col("n").alias("n_shingles"),
             F.coalesce("component", "node").alias("component_id"),
@@ -251,9 +252,11 @@ def near_duplicates(
 
 
 def _buckets(sketches, classes, scratch):
-    """(key, node, leader) of all buckets with two representatives or more."""
+    """(node, leader) of all buckets with two representatives or more, each pair once."""
     nodes = sketches.join(
-        classes.select(F.col("node").alias("doc_id"), "print"), ["doc_id", "print"], "left_semi"
+        classes.select(F.col("node").alias("doc_id"), "print").hint("merge"),
+        ["doc_id", "print"],
+        "left_semi",
     )
     members = scratch.keep(
         nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
@@ -264,7 +267,8 @@ def _buckets(sketches, classes, scratch):
         .where("leader < last")
         .select("key", "leader")
     )
-    return scratch.keep(members.join(leaders, "key").select("key", "node", "leader"))
+    joined = members.join(leaders.hint("merge"), "key")
+    return scratch.keep(joined.select("node", "leader").distinct())
 
 
 def _closed(buckets, candidates, words, percent, scratch):
@@ -286,13 +290,13 @@ def _closed(buckets, candidates, words, percent, scratch):
 def _named(buckets, closed, column, name):
     """Add the component of a column of ids."""
     found = closed.selectExpr(f"node as {column}", f"component as {name}_found")
-    joined = buckets.join(found, column, "left")
+    joined = buckets.join(found.hint("merge"), column, "left")
     return joined.withColumn(name, F.coalesce(f"{name}_found", column)).drop(f"{name}_found")
 
 
 def _with_leaders(buckets, closed, candidates, words, percent, scratch):
     """Every member with its bucket's leader, where they are not yet connected."""
-    others = buckets.where("node <> leader").select("node", "leader").distinct()
+    others = buckets.where("node <> leader")
     named = _named(_named(others, closed, "node", "own"), closed, "leader", "of")
     pairs = named.where("own <> of").selectExpr("leader as a", "node as b")
     return _pair_links(pairs, candidates, words, percent)
@@ -301,11 +305,12 @@ def _with_leaders(buckets, closed, candidates, words, percent, scratch):
 def _in_blocks(buckets, closed, candidates, words, percent, scratch):
     """Members outside their leader's component with every member of another component.
 
-    Outside and all members of a bucket are dealt to blocks by hash; each pair of an outside
-    and a member block is one group of bounded size.
+    All buckets of one leader are looked at together, so that a member comes once and not
+    under every band. Outside and all members are dealt to blocks by hash; each pair of an
+    outside and a member block is one group of bounded size.
     """
     named = _named(_named(buckets, closed, "node", "own"), closed, "leader", "of")
-    named = scratch.keep(named.selectExpr("key", "node", "own", "own <> of as outside"))
+    named = scratch.keep(named.selectExpr("leader as key", "node", "own", "own <> of as outside"))
     sizes = named.groupBy("key").agg(
         F.count("*").alias("members"), F.sum(F.col("outside").cast("long")).alias("out")
     )
@@ -315,7 +320,8 @@ def _in_blocks(buckets, closed, candidates, words, percent, scratch):
         )
     )
     mixed = named.join(sizes, "key").join(
-        candidates.select("node", F.col("n").cast("double").alias("n"), "registers"), "node"
+        candidates.select("node", F.col("n").cast("double").alias("n"), "registers").hint("merge"),
+        "node",
     )
     place = "pmod(xxhash64(node), {})"
     first = mixed.where("outside").selectExpr(
@@ -333,7 +339,7 @@ def _in_blocks(buckets, closed, candidates, words, percent, scratch):
     )
     # The texts that a group's likely pairs need, then the pairs themselves.
     needed = likely.select(*_GROUP, F.explode("nodes").alias("node"))
-    texts = needed.join(candidates.select("node", "text"), "node")
+    texts = needed.join(candidates.select("node", "text").hint("merge"), "node")
     rows = texts.withColumn("last", F.lit(0)).unionByName(
         likely.select(*_GROUP, "a", "b").withColumn("last", F.lit(1)), allowMissingColumns=True
     )
@@ -395,10 +401,8 @@ def _compared(percent):
         found = []
         for start in range(0, len(a), 4096):
             one, other = a[start : start + 4096], b[start : start + 4096]
-            # A pair that meets in several buckets is looked at in that of its first band.
-            shared = (keys[one] == keys[other]).argmax(axis=1)
-            here = keys[one, shared] == rows["key"][0]
-            one, other = one[here], other[here]
+            meet = (keys[one] == keys[other]).any(axis=1)
+            one, other = one[meet], other[meet]
             if len(one):
                 guess = estimate(registers[one], registers[other], n[one], n[other])
                 found.append((one[guess >= LEAST_ESTIMATE], other[guess >= LEAST_ESTIMATE]))

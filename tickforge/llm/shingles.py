@@ -1,10 +1,15 @@
 """Word shingles of a text as 64-bit hashes, in numpy."""
 
+import hashlib
+
 import numpy as np
 
 #: Bytes hashed at a time; a longer text is cut at white space.
 PIECE = 1 << 20
 
+#: Words of so many bytes are hashed one by one: sums modulo 2**64 meet in some long words.
+LONG_WORD = 256
+
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _RANDOM = np.random.default_rng(20240)
@@ -40,7 +45,11 @@ def _piece_words(data: bytes) -> np.ndarray:
         _POWERS[:] = [_powers(_STEP, size), _powers(_STEP_BACK, size)]
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTE[raw] * _POWERS[0][: len(raw)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _POWERS[1][starts])
+    hashes = mix((sums[ends] - sums[starts]) * _POWERS[1][starts])
+    for k in np.flatnonzero(ends - starts >= LONG_WORD):
+        word = hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8).digest()
+        hashes[k] = int.from_bytes(word, "little")
+    return hashes
 
 
 def word_hashes(text: str | None) -> np.ndarray:
