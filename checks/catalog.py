@@ -1,11 +1,12 @@
 """Every registered query. Dates and instants are given as text and floating
 results rounded to six places, so that two engines can be compared exactly."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import adapters as given
 from tickforge.functions import calendar, clock, columns
-from tickforge.functions.codec import decode, encode
+from tickforge.functions.codec import FAITHFUL, decode, encode
 from tickforge.operators import (
     bars,
     chunks,
@@ -25,7 +26,8 @@ from tickforge.session import run_folder, session_conf
 from tickforge.sinks import files as sinks
 from tickforge.sources import files as sources
 from tickforge.sources import streams
-from tickforge.streaming import landing
+from tickforge.streaming import chunks as streamed_chunks
+from tickforge.streaming import landing, totals
 
 DAY = "2024-01-10"
 
@@ -353,6 +355,129 @@ def landed_one_day(spark, sf):
     return news.groupBy("symbol", "event_date").agg(F.count("*").alias("n"))
 
 
+def _run(writer):
+    """Start a streaming query, take what is there, and stop."""
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def chunks_streamed(spark, sf):
+    """Arrays of 25 filled over four triggers, each of a query that was started anew."""
+    folder = run_folder(spark, "chunks-streamed")
+    trades = given.trades(spark, sf).select(*KEYS, "id", "price", "size", "timestamp_parsed")
+    least, most = trades.agg(F.min("id"), F.max("id")).first()
+    quarter = F.floor((F.col("id") - least) * 4 / (most - least + 1))
+    for number in range(4):
+        part = trades.where(quarter == number)
+        part.select(F.to_json(F.struct("*"), FAITHFUL).alias("value")).write.mode("append").text(
+            f"{folder}/in"
+        )
+        stream = streams.folder_stream(spark, f"{folder}/in").select(decode("value", trades.schema))
+        _run(
+            streamed_chunks.chunk_query(
+                stream, f"{folder}/out", f"{folder}/checkpoint", ["id"], 25, "1 day"
+            )
+        )
+    streamed_chunks.flush_chunks(spark, f"{folder}/out", trades.schema, ["id"], size=25)
+    made = streamed_chunks.read_chunks(spark, f"{folder}/out", trades.schema)
+    number = F.row_number().over(Window.partitionBy(*KEYS).orderBy("step", "chunk")) - 1
+    return _text(
+        made.select(*KEYS, number.cast("long").alias("chunk"), "n_messages", "messages")
+    )
+
+
+def _positioned(spark, sf):
+    """News and other messages as topic records whose offsets run against their times."""
+    sent = given.messages(spark, sf)
+    return sent.select(
+        F.lit("mixed").alias("topic"),
+        (F.col("payload.id") % 3).cast("int").alias("partition"),
+        F.expr("4000000000 - payload.id").alias("offset"),
+        F.expr("1704067200000000 - payload.id").alias("broker_micros"),
+        encode(*sent.columns).alias("value"),
+    )
+
+
+def latest_by_position(spark, sf):
+    """The news that arrived last for each symbol; every offset is landed twice."""
+    folder = run_folder(spark, "positions")
+    _positioned(spark, sf).write.json(f"{folder}/in")
+    for attempt in ("first", "again"):
+        stream = streams.record_stream(spark, f"{folder}/in")
+        _run(landing.landing_query(stream, f"{folder}/raw", f"{folder}/{attempt}"))
+    news = landing.read_landed(spark, f"{folder}/raw", "news", positions=True)
+    newest = chunks.latest_by_position(news, "symbol")
+    number = F.get_json_object("payload", "$.id").cast("long").alias("id")
+    return newest.select("symbol", "event_date", number, "topic", "partition", "offset")
+
+
+def _faulty(spark, sf):
+    """Trade messages of which some are cut off, misdated, no objects or wrongly typed."""
+    trades = given.trades(spark, sf)
+    made = messages.trade_messages(trades).drop("conditions")
+    text = encode(*made.columns)
+    day = F.col("event_date")
+    broken = (
+        F.when(F.col("id") % 20 == 1, F.expr("substring(v, 1, length(v) - 1)"))
+        .when(F.col("id") % 20 == 2, F.expr("replace(v, concat('\"', event_date, '\"'), '\"2024-13-45\"')"))
+        .when(F.col("id") % 20 == 3, F.expr("replace(v, event_date, replace(event_date, '-', '/'))"))
+        .when(F.col("id") % 20 == 4, F.concat(F.lit("["), F.col("v"), F.lit("]")))
+        .when(F.col("id") % 20 == 5, F.expr("replace(v, '\"price\":', '\"price\":\"about \",\"was\":')"))
+        .when(F.col("id") % 20 == 6, F.expr("replace(v, '\"symbol\":', '\"ticker\":')"))
+        .otherwise(F.col("v"))
+    )
+    return made.select("id", text.alias("v"), day).select(broken.alias("value"))
+
+
+def _land_faulty(spark, sf, folder):
+    _faulty(spark, sf).write.text(f"{folder}/in")
+    stream = streams.folder_stream(spark, f"{folder}/in")
+    _run(landing.landing_query(stream, f"{folder}/raw", f"{folder}/checkpoint", "trades"))
+    return f"{folder}/raw"
+
+
+def _id_in_text():
+    return F.regexp_extract("value", '"id":([0-9]+)', 1).cast("long").alias("id")
+
+
+def rejected_malformed(spark, sf):
+    """Every faulty message with what is wrong with it, refused or not readable as typed."""
+    root = _land_faulty(spark, sf, run_folder(spark, "malformed"))
+    refused = landing.read_rejected(spark, root)
+    return refused.union(landing.read_misfits(spark, root, "trades")).select(_id_in_text(), "reason")
+
+
+def redriven(spark, sf):
+    """Days written with slashes and renamed symbols are mended and landed, once in two runs."""
+    folder = run_folder(spark, "redriven")
+    root = _land_faulty(spark, sf, folder)
+
+    def repair(value):
+        named = F.regexp_replace(value, '"ticker":', '"symbol":')
+        return F.regexp_replace(named, r"(\d{4})/(\d{2})/(\d{2})", "$1-$2-$3")
+
+    for _ in range(2):
+        _run(
+            landing.redrive_query(
+                spark, root, f"{folder}/mended", f"{folder}/redrive", repair, "trades"
+            )
+        )
+    landed = landing.landed_text(spark, f"{folder}/mended")
+    symbol = F.get_json_object("value", "$.symbol").alias("symbol")
+    return landed.select(_id_in_text(), symbol, "feed", "reason")
+
+
+def message_totals(spark, sf):
+    """Counts of one query that ran twice on one checkpoint, new messages between."""
+    folder = run_folder(spark, "totals")
+    sent = given.messages(spark, sf)
+    lines = sent.select(encode(*sent.columns).alias("value"), F.col("payload.id").alias("id"))
+    for part in (0, 1):
+        lines.where(F.col("id") % 2 == part).select("value").write.mode("append").text(f"{folder}/in")
+        stream = streams.folder_stream(spark, f"{folder}/in")
+        _run(totals.totals_query(stream, f"{folder}/out", f"{folder}/checkpoint"))
+    return totals.message_totals(spark, f"{folder}/out")
+
+
 def export_keeps_symbols(spark, sf):
     """Two narrowed exports; the second must leave the first in place."""
     path = run_folder(spark, "export-keys")
@@ -440,4 +565,9 @@ QUERIES = {
     "json_arrays_roundtrip": json_arrays_roundtrip,
     "overwrite_keeps_partitions": overwrite_keeps_partitions,
     "landing_stream": landing_stream,
+    "chunks_streamed": chunks_streamed,
+    "latest_by_position": latest_by_position,
+    "rejected_malformed": rejected_malformed,
+    "redriven": redriven,
+    "message_totals": message_totals,
 }

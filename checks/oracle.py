@@ -401,3 +401,47 @@ SQL |= {
         where event_date = newest and event_date <= date '2024-01-20'""",
     ),
 }
+_FAULTS = """
+faults as (
+  select symbol, id, case id % 20 when 1 then 'malformed' when 2 then 'bad date'
+         when 3 then 'bad date' when 4 then 'malformed' when 5 then 'bad field'
+         when 6 then 'missing key' end as reason
+  from trades)"""
+SQL |= {
+    "chunks_streamed": _with(
+        TRADES,
+        """
+numbered as (
+  select *, (row_number() over (partition by symbol, event_date order by id) - 1) // 25 as chunk
+  from trades)""",
+        f""" select symbol, {_DAY.format("event_date")} as event_date, cast(chunk as bigint) as chunk,
+        count(*) as n_messages, '[' || string_agg('{{"symbol":"' || symbol || '","event_date":"' ||
+        {_DAY.format("event_date")} || '","id":' || id || ',"price":' || price || ',"size":' || size
+        || ',"timestamp_parsed":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}}', ','
+        order by id) || ']' as messages from numbered group by all""",
+    ),
+    "latest_by_position": _with(
+        MESSAGES,
+        """ select symbol, event_date, id, 'mixed' as topic, cast(id % 3 as int) as partition,
+        4000000000 - id as "offset" from messages
+        where type = 'NEWS' and coalesce(symbol, '') <> '' and coalesce(event_date, '') <> ''
+        qualify row_number() over (partition by symbol order by id) = 1""",
+    ),
+    "rejected_malformed": _with(
+        TRADES, _FAULTS, " select id, reason from faults where reason is not null"
+    ),
+    "redriven": _with(
+        TRADES,
+        _FAULTS,
+        """ select id, case when id % 20 <> 1 and id % 20 <> 4 then symbol end as symbol,
+        case when id % 20 in (3, 6) then 'trades' else 'rejected' end as feed,
+        case when id % 20 not in (3, 6) then reason end as reason
+        from faults where reason <> 'bad field'""",
+    ),
+    "message_totals": _with(
+        MESSAGES,
+        _ROUTED,
+        """ select feed, coalesce(reason, 'accepted') as status, count(*) as n_messages
+        from routed group by all""",
+    ),
+}

@@ -54,3 +54,21 @@ def latest_per_key(messages: DataFrame, key: str, order_by) -> DataFrame:
         .where(F.col("_rank") == 1)
         .drop("_rank")
     )
+
+
+def latest_by_position(messages: DataFrame, key: str) -> DataFrame:
+    """The record of each key that arrived last, as a compacted topic would keep.
+
+    Within a partition of a topic the larger offset came later, whatever the messages' own
+    times say. A key that lies in several partitions keeps the one the broker took last. The
+    first aggregate is by key and partition, so little is left to compare across partitions;
+    both are combined before they are shuffled. NULL keys are no key.
+    """
+    row = F.struct(*[F.col(f"`{name}`") for name in messages.columns])
+    by_partition = (
+        messages.where(F.col(key).isNotNull())
+        .groupBy(key, "topic", "partition")
+        .agg(F.max_by(row, "offset").alias("row"))
+    )
+    last = F.struct("row.broker_micros", "topic", "partition")
+    return by_partition.groupBy(key).agg(F.max_by("row", last).alias("row")).select("row.*")

@@ -56,13 +56,25 @@ def as_records(messages: DataFrame, keyed: bool) -> DataFrame:
     )
 
 
-def read_envelopes(records: DataFrame) -> DataFrame:
-    """Records with ``value`` to value, symbol, event_date, type and malformed.
+def once_per_position(landed: DataFrame) -> DataFrame:
+    """One row for each topic, partition and offset; rows without an offset all stay.
+
+    A topic is read again after a lost checkpoint, and then lands what it holds twice.
+    """
+    placed = landed.where(F.col("offset").isNotNull())
+    return placed.dropDuplicates(["topic", "partition", "offset"]).unionByName(
+        landed.where(F.col("offset").isNull())
+    )
+
+
+def read_envelopes(records: DataFrame, keep=()) -> DataFrame:
+    """Records with ``value`` to value, symbol, event_date, type and malformed, and ``keep``.
 
     Text that is NULL, does not parse, or is not a JSON object is malformed.
     """
-    return records.select("value", decode("value", ENVELOPE, "_bad")).select(
+    return records.select("value", *keep, decode("value", ENVELOPE, "_bad")).select(
         "value",
+        *keep,
         *ENVELOPE.names,
         (F.col("_bad").isNotNull() | ~is_object_text("value")).alias("malformed"),
     )

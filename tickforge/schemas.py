@@ -70,6 +70,12 @@ def _struct(**fields):
 
 _text, _real, _whole = StringType(), DoubleType(), LongType()
 
+#: Where a message stood on its topic; the broker's time in microseconds.
+POSITION = _struct(topic=_text, partition=IntegerType(), offset=_whole, broker_micros=_whole)
+
+#: A record of a topic, as the readers of streams give it.
+RECORD = StructType([*_struct(key=_text, value=_text).fields, *POSITION.fields])
+
 TRADE_MESSAGE = _struct(
     symbol=_text,
     price=_real,

@@ -6,6 +6,8 @@ the same code.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickforge.schemas import RECORD
+
 
 def topic_stream(
     spark: SparkSession,
@@ -37,10 +39,20 @@ def topic_records(loaded: DataFrame) -> DataFrame:
     the order of arrival."""
     return loaded.selectExpr(
         "cast(key as string) as key", "cast(value as string) as value",
-        "topic", "partition", "offset", "timestamp",
+        "topic", "partition", "offset", "unix_micros(timestamp) as broker_micros",
     )
 
 
+def record_stream(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """New files of topic records that were saved as JSON lines, positions included."""
+    reader = spark.readStream.schema(RECORD)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.json(path)
+
+
 def folder_stream(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:

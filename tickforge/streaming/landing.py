@@ -5,16 +5,22 @@ One query per topic. Every message is written once, as it came, under
 ``feed=rejected`` with their reason, next to the others and in the same commit.
 Spark's file sink and checkpoint make this exactly-once across restarts, and each
 trigger commits all it read, so no tail waits for a full buffer.
+
+Messages from a topic keep their position (topic, partition, offset and the broker's time
+in microseconds), which alone gives their order of arrival and tells repeats apart.
+``redrive_query`` takes refused messages up again once it is known how to mend them.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tickforge.functions.codec import decode, json_text
-from tickforge.operators.messages import classify, read_envelopes
-from tickforge.schemas import NEWS_MESSAGE, RECO_MESSAGE, TRADE_MESSAGE
+from tickforge.operators.messages import classify, once_per_position, read_envelopes
+from tickforge.schemas import NEWS_MESSAGE, POSITION, RECO_MESSAGE, TRADE_MESSAGE
 
 REJECTED = "rejected"
 FOLDERS = ["feed", "symbol", "event_date"]
@@ -28,12 +34,15 @@ _LANDED = StructType(
         StructField(name, StringType(), True)
         for name in ("value", "reason", "feed", "symbol", "event_date")
     ]
+    + POSITION.fields
 )
 
 
 def routed(records: DataFrame, feed: str | None = None) -> DataFrame:
-    """value, reason and the three folder columns; works on streams and batches."""
-    classified = classify(read_envelopes(records), feed)
+    """value, reason, the three folder columns, and the position if the records have one;
+    works on streams and batches."""
+    at = [name for name in POSITION.names if name in records.columns]
+    classified = classify(read_envelopes(records, at), feed)
     ok = F.col("reason").isNull()
     return classified.select(
         json_text("value").alias("value"),
@@ -42,6 +51,7 @@ def routed(records: DataFrame, feed: str | None = None) -> DataFrame:
         # Refused messages share one folder, whatever their keys contain.
         F.when(ok, F.col("symbol")).alias("symbol"),
         F.when(ok, F.col("event_date")).alias("event_date"),
+        *at,
     )
 
 
@@ -102,14 +112,21 @@ def _landed_part(spark, root, feed, symbol, event_date, until) -> DataFrame:
 
 
 def read_landed(
-    spark: SparkSession, root: str, feed: str, symbol=None, event_date=None, until=None
-) -> DataFrame:
+    spark: SparkSession, root: str, feed: str, symbol=None, event_date=None, until=None,
+    positions: bool = False,
+) -> DataFrame:
     """Decoded messages of one feed, optionally one symbol, one day, or all days up to one.
 
-    All of these are folders: what is not asked for is neither read nor parsed.
+    All of these are folders: what is not asked for is neither read nor parsed. With
+    ``positions`` the position follows, and a position that was landed twice gives one row.
     """
     landed = _landed_part(spark, root, feed, symbol, event_date, until)
-    return landed.select(decode("value", MESSAGE_SCHEMAS[feed]))
+    if not positions:
+        return landed.select(decode("value", MESSAGE_SCHEMAS[feed]))
+    landed = once_per_position(landed.select("value", *POSITION.names))
+    return landed.select(*POSITION.names, decode("value", MESSAGE_SCHEMAS[feed])).select(
+        *MESSAGE_SCHEMAS[feed].names, *POSITION.names
+    )
 
 
 def read_misfits(
@@ -127,3 +144,25 @@ def read_misfits(
 def read_rejected(spark: SparkSession, root: str) -> DataFrame:
     """Refused messages with their reason."""
     return landed_text(spark, root).where(F.col("feed") == REJECTED).select("value", "reason")
+
+
+def redrive_query(
+    spark: SparkSession,
+    rejects_root: str,
+    root: str,
+    checkpoint: str,
+    repair: Callable[[Column], Column],
+    feed: str | None = None,
+) -> DataStreamWriter:
+    """Land the refused messages of ``rejects_root`` again in ``root``, mended by ``repair``.
+
+    ``repair`` is an expression over the text of a message, for example one that turns
+    another way of writing a day into a date. A checkpoint for each repair makes every
+    refused message come once, also those refused after its first run; what is refused again
+    lies under ``root`` with its new reason, so a next repair can start from there. ``root``
+    is another folder than ``rejects_root``, since a folder has one writer.
+    """
+    landed = spark.readStream.schema(_LANDED).json(rejects_root)
+    refused = landed.where(F.col("feed") == REJECTED)
+    mended = refused.select(repair(F.col("value")).alias("value"), *POSITION.names)
+    return landing_query(mended, root, checkpoint, feed)
