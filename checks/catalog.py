@@ -26,6 +26,7 @@ from tickforge.session import run_folder, session_conf
 from tickforge.sinks import files as sinks
 from tickforge.sources import files as sources
 from tickforge.sources import streams
+from tickforge.streaming import bars as streamed_bars
 from tickforge.streaming import chunks as streamed_chunks
 from tickforge.streaming import landing, totals
 
@@ -385,6 +386,26 @@ def chunks_streamed(spark, sf):
     )
 
 
+def bars_streamed(spark, sf):
+    """Hourly bars over a stream with a delay of a day, every 97th trade sent last.
+
+    A trade far ahead of the others ends the stream; its own bar stays open.
+    """
+    folder = run_folder(spark, "bars-streamed")
+    trades = given.trades(spark, sf).drop("conditions")
+    moment = F.unix_micros("timestamp_parsed")
+    least, most = trades.agg(F.min(moment), F.max(moment)).first()
+    quarter = F.floor((moment - least) * 4 / (most - least + 1))
+    held = F.col("id") % 97 == 5
+    last = trades.limit(1).withColumn("timestamp_parsed", F.timestamp_micros(F.lit(most + 10**12)))
+    parts = [trades.where(~held & (quarter == n)) for n in range(4)] + [trades.where(held), last]
+    for part in parts:
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(trades.schema).parquet(f"{folder}/in")
+        _run(streamed_bars.bars_query(stream, f"{folder}/out", f"{folder}/checkpoint", "1 hour", "1 day"))
+    return _flat_bars(streamed_bars.read_bars(spark, f"{folder}/out"))
+
+
 def _positioned(spark, sf):
     """News and other messages as topic records whose offsets run against their times."""
     sent = given.messages(spark, sf)
@@ -398,13 +419,15 @@ def _positioned(spark, sf):
 
 
 def latest_by_position(spark, sf):
-    """The news that arrived last for each symbol; every offset is landed twice."""
+    """The news that arrived last for each symbol; every offset is landed twice, as after a
+    lost checkpoint."""
     folder = run_folder(spark, "positions")
     _positioned(spark, sf).write.json(f"{folder}/in")
-    for attempt in ("first", "again"):
+    roots = [f"{folder}/raw", f"{folder}/raw-again"]
+    for root in roots:
         stream = streams.record_stream(spark, f"{folder}/in")
-        _run(landing.landing_query(stream, f"{folder}/raw", f"{folder}/{attempt}"))
-    news = landing.read_landed(spark, f"{folder}/raw", "news", positions=True)
+        _run(landing.landing_query(stream, root, f"{root}-checkpoint"))
+    news = landing.read_landed(spark, roots, "news", positions=True)
     newest = chunks.latest_by_position(news, "symbol")
     number = F.get_json_object("payload", "$.id").cast("long").alias("id")
     return newest.select("symbol", "event_date", number, "topic", "partition", "offset")
@@ -570,4 +593,5 @@ QUERIES = {
     "rejected_malformed": rejected_malformed,
     "redriven": redriven,
     "message_totals": message_totals,
+    "bars_streamed": bars_streamed,
 }

@@ -445,3 +445,9 @@ numbered as (
         from routed group by all""",
     ),
 }
+_LATE = """
+intime as (
+  select trades.* from trades, (
+    select max(ts) filter (id % 97 <> 5) - interval 1 day as watermark from trades)
+  where id % 97 <> 5 or ts >= watermark)"""
+SQL["bars_streamed"] = _with(TRADES, _LATE, bars_cte("1 hour", "intime"), _bar_select())

@@ -12,6 +12,7 @@ in microseconds), which alone gives their order of arrival and tells repeats apa
 """
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,8 +69,13 @@ def landing_query(
     file in every folder; the gathering is adaptive, splits a hot symbol over several tasks
     and so sizes the files. ``records_per_file`` bounds them further, if given.
     The observed metric ``messages`` counts accepted and refused messages of every
-    trigger.
+    trigger. A lost checkpoint needs a new ``root``, too: batches would be numbered from 0
+    again, and the sink passes over numbers that its log holds. Read both roots together,
+    with positions, and what was landed twice comes once.
     """
+    spark = records.sparkSession
+    if _exists(spark, f"{root}/_spark_metadata") and not _exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{root} was written with another checkpoint; land into a new folder")
     watched = routed(records, feed).observe(
         "messages",
         F.count(F.lit(1)).alias("received"),
@@ -86,17 +92,23 @@ def landing_query(
     return writer.option("maxRecordsPerFile", records_per_file) if records_per_file else writer
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def console_query(records: DataFrame, rows: int = 20) -> DataStreamWriter:
     """Print the first rows of every trigger; for debugging."""
     return records.writeStream.format("console").option("numRows", rows).option("truncate", False)
 
 
-def landed_text(spark: SparkSession, root: str) -> DataFrame:
-    """Landed messages as they came: value, reason and the folder columns.
+def landed_text(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """Landed messages as they came: value, reason, the position and the folder columns.
 
-    Only files of committed triggers are seen.
+    Only files of committed triggers are seen. ``root`` may be several folders.
     """
-    return spark.read.schema(_LANDED).json(root)
+    roots = [root] if isinstance(root, str) else root
+    return reduce(DataFrame.union, [spark.read.schema(_LANDED).json(one) for one in roots])
 
 
 def _landed_part(spark, root, feed, symbol, event_date, until) -> DataFrame:
@@ -112,7 +124,7 @@ def _landed_part(spark, root, feed, symbol, event_date, until) -> DataFrame:
 
 
 def read_landed(
-    spark: SparkSession, root: str, feed: str, symbol=None, event_date=None, until=None,
+    spark: SparkSession, root: str | list[str], feed: str, symbol=None, event_date=None, until=None,
     positions: bool = False,
 ) -> DataFrame:
     """Decoded messages of one feed, optionally one symbol, one day, or all days up to one.
@@ -130,7 +142,7 @@ def read_landed(
 
 
 def read_misfits(
-    spark: SparkSession, root: str, feed: str, symbol=None, event_date=None, until=None
+    spark: SparkSession, root: str | list[str], feed: str, symbol=None, event_date=None, until=None
 ) -> DataFrame:
     """Landed messages with a field of another type than the feed has: value, reason.
 
