@@ -111,21 +111,6 @@ def test_no_slice_of_a_burst_exceeds_twice_the_target(spark, instant):
     assert got == [r[2:] for r in order]
 
 
-@pytest.mark.parametrize("spread", [[5], [0, 1, 19_999]], ids=["one instant", "clumped"])
-def test_even_slices_split_any_distribution(make_trades, spread):
-    trades = _random_trades(make_trades, 9, spread, "HOT")
-    cut = slices.even_slices(trades, KEYS, ORDER_COLUMNS, target_rows=40)
-    per_slice = [r["count"] for r in cut.groupBy(slices.SLICE).count().collect()]
-    assert len(per_slice) == 10 and max(per_slice) < 80
-    whole = rolling.rolling_features(trades).orderBy("id").collect()
-    assert rolling.rolling_features(cut).orderBy("id").select(whole[0].__fields__).collect() == whole
-    numbers = slices.number_rows(trades, KEYS, ["timestamp_parsed", "id"], "n").orderBy("id")
-    split = slices.number_rows(cut, KEYS, ["timestamp_parsed", "id"], "n").orderBy("id")
-    assert [r.n for r in split.collect()] == [r.n for r in numbers.collect()]
-    table = trade_features(trades, target_rows=40, bursts=True).orderBy("id")
-    assert table.collect() == trade_features(trades).orderBy("id").collect()
-
-
 def test_codes_by_frequency_then_label(make_trades):
     trades = make_trades(
         {"exchange": "Q"}, {"exchange": "P"}, {"exchange": "Z"}, {"exchange": "Z"}
@@ -145,6 +130,39 @@ def test_many_labels_are_ranked_in_slices(make_trades):
     assert sorted(applied[0].collect()) == sorted(applied[1].collect())
 
 
+def _shuffles(df, column):
+    """Exchanges in the initial plan whose keys hold the column."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    return [line for line in lines if f"{column}#" in line.split("),")[0]]
+
+
+def test_trades_are_shuffled_once_and_never_by_label(spark, make_trades, tmp_path):
+    make_trades(*[{"exchange": "QV"[n % 2], "id": n} for n in range(50)]).write.parquet(str(tmp_path / "t"))
+    trades = spark.read.parquet(str(tmp_path / "t"))
+    index = labels.fit_labels(trades, ["exchange"])
+    coded = labels.apply_labels(trades, index, {"exchange": "code"})
+    assert not _shuffles(coded, "exchange") and not _shuffles(coded, "label")
+    table = trade_features(trades)
+    assert not _shuffles(table, "exchange") and not _shuffles(table, "tape")
+    wide = [line for line in _shuffles(table, "_slice") if "_borrowed" not in line]
+    assert len(wide) == 2  # trades, and the few rows before each slice of a hot key
+
+
+def test_saved_counts_are_refitted_by_day(spark, make_trades, tmp_path):
+    days = [f"2025-05-0{d}T10:00:00" for d in (1, 2, 3)]
+    parts = [make_trades(*[{"ts": ts, "exchange": e} for e in x]) for ts, x in zip(days, ("QQPP", "PZ", "Z"))]
+    root = str(tmp_path / "labels")
+    for part in parts[:2]:
+        labels.save_label_counts(part, root, ["exchange"])
+    codes = lambda **k: {r.label: r.label_index for r in labels.saved_labels(spark, root, **k).table.collect()}
+    assert codes() == {"P": 0.0, "Q": 1.0, "Z": 2.0}
+    labels.save_label_counts(parts[2].union(parts[2]), root, ["exchange"])
+    labels.save_label_counts(parts[1], root, ["exchange"])  # a day that comes again counts once
+    assert codes() == {"P": 0.0, "Z": 1.0, "Q": 2.0}
+    assert codes(until="2025-05-02") == {"P": 0.0, "Q": 1.0, "Z": 2.0}
+
+
 def test_codes_match_sparks_own_indexer(spark, make_trades):
     from pyspark.ml.feature import StringIndexer
 

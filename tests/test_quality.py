@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tickforge.functions import calendar
 from tickforge.operators import quality
 from tickforge.operators.documents import typed_documents
+from tickforge.plans.completeness import require_complete
 from tickforge.schemas import KEYS
 from tickforge.sinks.files import write_table
 from tickforge.sources.files import read_parquet_file
@@ -28,11 +29,11 @@ def test_missing_symbols_and_requirement(make_trades):
     trades = make_trades({"symbol": "A"}, {"symbol": "B", "ts": "2025-05-03T10:00:00"})
     missing = quality.missing_symbols(trades, ["A", "B"]).collect()
     assert {(r.symbol, r.event_date.day) for r in missing} == {("B", 2), ("A", 3)}
-    quality.require_complete(trades, ["A"], "2025-05-02")
+    require_complete(trades, ["A"], "2025-05-02")
     with pytest.raises(ValueError, match="B, C"):
-        quality.require_complete(trades, ["C", "A", "B"], "2025-05-02")
+        require_complete(trades, ["C", "A", "B"], "2025-05-02")
     with pytest.raises(ValueError):
-        quality.require_complete(trades, ["A"], "1999-01-01")
+        require_complete(trades, ["A"], "1999-01-01")
 
 
 def test_profile(make_trades):

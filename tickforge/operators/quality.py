@@ -12,11 +12,18 @@ def with_source_file(df: DataFrame) -> DataFrame:
 
 
 def _expected(df: DataFrame, symbols, event_date) -> DataFrame:
-    listed = F.explode(F.array(*[F.lit(s) for s in symbols])).alias("symbol")
+    """Every symbol on the day, or on every day found. ``symbols``: a list, or a DataFrame."""
+    days = df.select("event_date").distinct()
     if event_date is not None:
-        one = df.sparkSession.range(1).select(date_literal(event_date).alias("event_date"))
-        return one.select(listed, "event_date")
-    return df.select("event_date").distinct().select(listed, "event_date")
+        one = df.sparkSession.range(1)
+        days = one.select(date_literal(event_date).alias("event_date"))
+    if not isinstance(symbols, DataFrame):
+        listed = F.array(*[F.lit(symbol) for symbol in symbols])
+        return days.select(F.explode(listed).alias("symbol"), "event_date")
+    # The symbols are one row, which every day meets.
+    listed = symbols.groupBy(F.lit(1).alias("all")).agg(F.collect_set("symbol").alias("listed"))
+    met = days.withColumn("all", F.lit(1)).join(listed, "all")
+    return met.select(F.explode("listed").alias("symbol"), "event_date")
 
 
 def completeness(df: DataFrame, symbols, event_date: str | None = None) -> DataFrame:
@@ -29,8 +36,12 @@ def completeness(df: DataFrame, symbols, event_date: str | None = None) -> DataF
         counts.append(F.countDistinct("source_file").alias("n_files"))
     if event_date is not None:
         df = df.where(F.col("event_date") == date_literal(event_date))
-    found = df.groupBy("symbol", "event_date").agg(*counts)
-    expected = _expected(df, symbols, event_date)
+    return completeness_of(df.groupBy("symbol", "event_date").agg(*counts), symbols, event_date)
+
+
+def completeness_of(found: DataFrame, symbols, event_date: str | None = None) -> DataFrame:
+    """``completeness`` from counts by symbol and day, such as ``table_inventory`` gives."""
+    expected = _expected(found, symbols, event_date)
     return expected.join(found, ["symbol", "event_date"], "left").na.fill(
         0, [c for c in found.columns if c.startswith("n_")]
     )
@@ -43,14 +54,6 @@ def missing_symbols(df: DataFrame, symbols, event_date: str | None = None) -> Da
     return expected.join(present, ["symbol", "event_date"], "left_anti")
 
 
-def require_complete(df: DataFrame, symbols, event_date: str) -> None:
-    """Raise if any expected symbol has no data for the day (runs one small job)."""
-    day = df.where(F.col("event_date") == date_literal(event_date))
-    missing = [row.symbol for row in missing_symbols(day, symbols, event_date).collect()]
-    if missing:
-        raise ValueError(f"no data on {event_date} for: {', '.join(sorted(missing))}")
-
-
 def profile(df: DataFrame) -> DataFrame:
     """column_name, data_type and non-NULL count of every column, in one pass."""
     names = df.columns

@@ -7,7 +7,7 @@ from tickforge.functions.clock import parse_timestamp, time_parts
 from tickforge.functions.columns import array_flag
 from tickforge.operators.labels import LabelIndex, apply_labels, fit_labels
 from tickforge.operators.rolling import rolling_features
-from tickforge.operators.slices import TARGET_ROWS, even_slices
+from tickforge.operators.slices import TARGET_ROWS
 from tickforge.schemas import (
     CONDITION_CODES,
     FEATURE_COLUMNS,
@@ -46,15 +46,13 @@ def trade_features(
     code_scope=(),
     target_rows: int = TARGET_ROWS,
     on_null_label: str = "error",
-    bursts: bool = False,
 ) -> DataFrame:
     """17 features per trade, followed by timestamp_parsed and id.
 
     Codes are fitted on the whole input unless fitted ``labels`` are given;
-    ``code_scope=("symbol", "event_date")`` fits each symbol and day on its own.
-    ``bursts=True`` splits hot keys by row count instead of time, at the price of
-    writing the rows once. Pass a columnar source: the label counts, the hot-key counts and the features
-    each scan it, with only the columns they need.
+    ``code_scope=("symbol", "event_date")`` fits each symbol and day on its own. Pass a
+    columnar source: the label counts, the hot-key counts and the features each scan it, with
+    only the columns they need. Trades are shuffled once, by symbol, day and slice.
     """
     labels = labels or fit_labels(trades, LABEL_COLUMNS, code_scope)
     coded = apply_labels(trades, labels, LABEL_COLUMNS, on_null_label)
@@ -64,8 +62,6 @@ def trade_features(
     narrow = coded.withColumns(flags).select(
         *KEYS, "price", "size", *LABEL_COLUMNS.values(), *CONDITION_CODES, *ORDER_COLUMNS
     )
-    if bursts:
-        narrow = even_slices(narrow, KEYS, ORDER_COLUMNS, target_rows, "features")
     rolled = rolling_features(narrow, target_rows, source=trades)
     return rolled.withColumns(time_parts("timestamp_parsed")).select(
         *FEATURE_COLUMNS, *ORDER_COLUMNS

@@ -7,18 +7,25 @@
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from tickforge.functions.codec import decode
 from tickforge.operators.bars import price_bars
+from tickforge.operators.chunks import TRADES_PER_CHUNK
 from tickforge.operators.documents import typed_documents
 from tickforge.operators.enrich import enrich_asof
-from tickforge.operators.filters import partition_filter
-from tickforge.operators.quality import preview, require_complete
+from tickforge.operators.filters import has_keys, partition_filter
+from tickforge.operators.labels import save_label_counts, saved_labels
+from tickforge.operators.quality import preview
 from tickforge.operators.recos import flatten_recos, latest_as_of, latest_if_current
-from tickforge.plans.features import trade_features, typed_trades
+from tickforge.plans.completeness import require_complete, table_completeness
+from tickforge.plans.features import trade_features, typed_trades, unreadable_times
 from tickforge.plans.market import enrich_market
 from tickforge.schemas import (
     BARS,
     KEYS,
+    LABEL_COLUMNS,
     RECO_MESSAGE,
     RECOS,
     SYMBOLS,
@@ -28,8 +35,18 @@ from tickforge.schemas import (
 from tickforge.session import build_session, require_utc, session_conf, staged
 from tickforge.sinks.files import export_json_lines, show_rows, write_table
 from tickforge.sources.files import read_json_arrays, read_table
-from tickforge.sources.streams import folder_stream, topic_stream
-from tickforge.streaming.landing import LANDING_CONF, landing_query, read_landed, read_misfits
+from tickforge.sources.streams import folder_stream, record_stream, topic_stream
+from tickforge.streaming.bars import bars_query
+from tickforge.streaming.chunks import chunk_query, flush_chunks
+from tickforge.streaming.landing import (
+    LANDING_CONF,
+    MESSAGE_SCHEMAS,
+    landing_query,
+    read_landed,
+    read_misfits,
+    redrive_query,
+)
+from tickforge.streaming.totals import totals_query
 
 
 def _raw(spark, args, feed, schema, **days):
@@ -57,15 +74,28 @@ def features(spark: SparkSession, args) -> None:
 
     JSON is parsed once, into a staged columnar table that the following passes
     read with column pruning. Rows leave the rolling shuffle grouped by key, so the
-    write adds no shuffle.
+    write adds no shuffle. With ``--labels_path`` the days' label counts are saved there and
+    codes follow the counts of all saved days; without, those of this run.
     """
     raw = _raw(spark, args, "trades", TRADE_MESSAGE, event_date=args.event_date)
+    if args.rejects_path:
+        unread = unreadable_times(raw).select(F.to_json(F.struct("*")).alias("value"))
+        unread = unread.withColumn("reason", F.lit("bad time"))
+        unread.write.mode("append").json(args.rejects_path)
     trades = partition_filter(typed_trades(raw), args.symbol, args.event_date)
-    scope = KEYS if args.code_scope == "day" else ()
+    scope, labels = KEYS if args.code_scope == "day" else (), None
     with staged(trades, "typed-trades") as typed:
         if args.require_symbols:
             require_complete(typed, args.require_symbols, args.event_date)
-        _write(args, trade_features(typed, code_scope=scope, bursts=args.bursts), rebalance=False)
+        if args.labels_path:
+            save_label_counts(typed, args.labels_path, LABEL_COLUMNS)
+            labels = saved_labels(spark, args.labels_path)
+        table = trade_features(typed, labels, scope, on_null_label=args.on_null_label)
+        _write(args, table, rebalance=False)
+    if args.completeness_path:
+        symbols = args.require_symbols or SYMBOLS
+        found = table_completeness(spark, args.output_path, symbols, args.event_date)
+        found.write.mode("overwrite").json(args.completeness_path)
 
 
 def bars(spark: SparkSession, args) -> None:
@@ -111,23 +141,68 @@ def documents(spark: SparkSession, args) -> None:
     export_json_lines(made, args.output_path, KEYS)
 
 
-def land(spark: SparkSession, args) -> None:
-    """A topic, or a folder of JSON lines, into the raw zone; runs until stopped."""
+def _records(spark, args):
     if args.brokers:
-        stream = topic_stream(
+        return topic_stream(
             spark, args.brokers, args.topic, args.max_per_trigger, args.min_partitions
         )
-    else:
-        stream = folder_stream(spark, args.input_path, args.max_per_trigger)
-    writer = landing_query(
-        stream, args.output_path, args.checkpoint, args.feed, args.records_per_file
-    )
+    read = record_stream if args.records else folder_stream
+    return read(spark, args.input_path, args.max_per_trigger)
+
+
+def _run(spark, args, writer):
     if args.once:
         writer = writer.trigger(availableNow=True)
     with session_conf(spark, LANDING_CONF):
         writer.start().awaitTermination()
 
 
+def land(spark: SparkSession, args) -> None:
+    """A topic, or a folder of JSON lines, into the raw zone; runs until stopped."""
+    stream = _records(spark, args)
+    _run(
+        spark,
+        args,
+        landing_query(stream, args.output_path, args.checkpoint, args.feed, args.records_per_file),
+    )
+
+
+def chunk(spark: SparkSession, args) -> None:
+    """A topic or folder into arrays of ``--size`` messages of one symbol and day."""
+    schema = MESSAGE_SCHEMAS[args.feed]
+    records = _records(spark, args)
+    order = "offset" if "offset" in records.columns else "_line"
+    arriving = records if order == "offset" else records.withColumn("_line", F.lit(0).cast("long"))
+    kept = StructType([*schema.fields, StructField(order, LongType())])
+    messages = arriving.select(order, decode("value", schema)).select(*kept.names)
+    messages = messages.where(has_keys())
+    writer = chunk_query(messages, args.output_path, args.checkpoint, [order], args.size, args.wait)
+    _run(spark, args, writer)
+    if args.once and args.flush:
+        flush_chunks(spark, args.output_path, kept, [order], size=args.size)
+
+
+def total(spark: SparkSession, args) -> None:
+    """Running counts of a topic's messages by feed and outcome."""
+    _run(spark, args, totals_query(_records(spark, args), args.output_path, args.checkpoint, args.feed))
+
+
+def stream_bars(spark: SparkSession, args) -> None:
+    """A topic or folder of trades into final bars."""
+    trades = typed_trades(_records(spark, args).select(decode("value", TRADE_MESSAGE)))
+    writer = bars_query(trades, args.output_path, args.checkpoint, args.window_size, args.delay)
+    _run(spark, args, writer)
+
+
+def redrive(spark: SparkSession, args) -> None:
+    """Refused messages of a raw zone, mended by an SQL expression over ``value``, into another."""
+    repair = args.repair
+    writer = redrive_query(
+        spark, args.input_path, args.output_path, args.checkpoint, lambda _: F.expr(repair), args.feed
+    )
+    _run(spark, args, writer)
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tickforge")
     commands = parser.add_subparsers(dest="job", required=True)
@@ -149,7 +224,9 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument(
         "--require_symbols", nargs="*", help="fail unless these have data; none named = default six"
     )
-    sub.add_argument("--bursts", action="store_true", help="split hot days by row count, not time")
+    sub.add_argument("--labels_path", help="label counts by day, refitted with the days read")
+    sub.add_argument("--on_null_label", choices=["error", "keep"], default="error")
+    sub.add_argument("--completeness_path", help="rows and files per expected symbol and day")
     command(bars, "input_path").add_argument("--window_size", default="1 minute")
     sub = command(recos, "input_path")
     sub.add_argument("--raw_layout", choices=["landed", "arrays"], default="landed")
@@ -159,16 +236,32 @@ def _parser() -> argparse.ArgumentParser:
     command(enrich, "bars_path", "recos_path")
     command(market, "input_path", "recos_path").add_argument("--window_size", default="1 minute")
     command(documents, "input_path")
-    sub = command(land)
-    sub.add_argument("--input_path")
-    sub.add_argument("--brokers")
-    sub.add_argument("--topic")
-    sub.add_argument("--checkpoint", required=True)
-    sub.add_argument("--feed", choices=["trades", "recos", "news"], help="none for a mixed topic")
-    sub.add_argument("--max_per_trigger", type=int)
-    sub.add_argument("--min_partitions", type=int)
-    sub.add_argument("--records_per_file", type=int, )
-    sub.add_argument("--once", action="store_true", help="process what is there, then stop")
+
+    def streaming(run, feed_help, **feed):
+        sub = command(run)
+        sub.add_argument("--input_path")
+        sub.add_argument("--checkpoint", required=True)
+        sub.add_argument("--feed", choices=["trades", "recos", "news"], help=feed_help, **feed)
+        sub.add_argument("--once", action="store_true", help="process what is there, then stop")
+        if run is not redrive:
+            sub.add_argument("--brokers")
+            sub.add_argument("--topic")
+            sub.add_argument("--records", action="store_true", help="input has saved topic records")
+            sub.add_argument("--max_per_trigger", type=int)
+            sub.add_argument("--min_partitions", type=int)
+        return sub
+
+    mixed = "none for a mixed topic"
+    streaming(land, mixed).add_argument("--records_per_file", type=int)
+    sub = streaming(chunk, "what the messages are", default="trades")
+    sub.add_argument("--size", type=int, default=TRADES_PER_CHUNK)
+    sub.add_argument("--wait", default="10 minutes", help="a short array leaves after that long")
+    sub.add_argument("--flush", action="store_true", help="with --once, let short arrays go")
+    streaming(total, mixed)
+    sub = streaming(stream_bars, "trades only")
+    sub.add_argument("--window_size", default="1 minute")
+    sub.add_argument("--delay", default="10 minutes", help="how late a trade may come")
+    streaming(redrive, mixed).add_argument("--repair", required=True, help="SQL over value")
     return parser
 
 
@@ -181,8 +274,10 @@ def parse(argv=None) -> argparse.Namespace:
         parser.error("--require_symbols needs --event_date")
     if args.job == "latest-recos" and not args.event_date:
         parser.error("latest-recos needs --event_date")
-    if args.job == "land" and not (args.input_path or (args.brokers and args.topic)):
-        parser.error("land needs --input_path, or --brokers and --topic")
+    if hasattr(args, "once"):
+        brokers = getattr(args, "brokers", None) and args.topic
+        if not (args.input_path or brokers):
+            parser.error(f"{args.job} needs --input_path, or --brokers and --topic")
     return args
 
 

@@ -128,6 +128,9 @@ BARS = _struct(
     volatility_price=_real,
 )
 
+#: Label counts by day.
+LABEL_COUNTS = _struct(column=_text, label=_text, n=_whole, event_date=DateType())
+
 RECOS = _struct(symbol=_text, event_date=DateType(), **{name: _whole for name in RECO_COUNTS})
 
 ENRICHED = _struct(
