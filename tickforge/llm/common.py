@@ -76,6 +76,11 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def kept(spark: SparkSession, purpose: str) -> Scratch:
+    """A scratch outside a block: its tables stay as long as the session."""
+    return Scratch(spark, purpose)
+
+
 #: Bits of a filter of ids, whatever the number of ids.
 FILTER_BITS = 1 << 24
 
