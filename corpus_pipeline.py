@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.llm import bpe, decontam, langid, neardup, pii
-from tickforge.llm.common import small_batches, table
+from tickforge.llm.common import kept, rows_without, small_batches, table
 from tickforge.llm.queries import TOKENIZER
 from tickforge.session import run_folder
 
@@ -32,16 +32,15 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     small_batches(spark)
     groups = neardup.near_duplicates(docs, words=5, percent=80)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    gone = groups.where("doc_id <> component_id").select("doc_id")
+    return rows_without(docs.select(*COLUMNS), gone, "doc_id", kept(spark, "gone"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, not even re-parameterised."""
     small_batches(spark)
     found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    gone = found.select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    return rows_without(docs.select(*COLUMNS), found, "doc_id", kept(spark, "gone"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
