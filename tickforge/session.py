@@ -1,6 +1,7 @@
 """Session settings the results depend on, and shared-folder access."""
 
 import os
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -57,15 +58,25 @@ def shared_folder(spark: SparkSession) -> str:
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tickforge-"))
     return context.getCheckpointDir().rstrip("/")
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under the shared folder, unique to this run."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, unique to this run.
+
+    All of them lie in one folder of the session, which goes when its driver ends. What a
+    killed driver leaves behind carries the application's id and is for a clean-up by age.
+    """
+    context = spark.sparkContext
+    home = f"{shared_folder(spark)}/tickforge-{context.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(home)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{home}/{purpose}-{uuid.uuid4().hex}"
 
 
 @contextmanager
