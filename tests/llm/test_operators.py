@@ -216,6 +216,74 @@ def test_template_matches_need_consistent_slots(spark):
     assert decontam.contaminated(table, items.limit(0)).count() == 0
 
 
+def brute_contaminated(texts, items):
+    """The definition, pair by pair and offset by offset."""
+
+    def coded(text, plain=False):
+        found = []
+        for word in (text or "").split():
+            code = decontam.canonical(word)
+            value = decontam._EDGE.sub("", word).lower()
+            if code:
+                found.append((decontam._hash(value) if plain and code == decontam.NAME else code, value))
+        return found
+
+    rows = set()
+    for i, item in items.items():
+        forms = [coded(item), coded(item, plain=True)]
+        size = min(8, len(forms[0]))
+        if not size:
+            continue
+        starts = range(len(forms[0]) - size + 1)
+        rich = [k for k in starts if sum(c >= 16 for c, _ in forms[0][k : k + size]) >= 4]
+        for d, text in texts.items():
+            words = coded(text)
+            for offset in range(-len(forms[0]), len(words)):
+                windows, pairs = set(), set()
+                for k in rich or starts:
+                    there = words[offset + k : offset + k + size] if offset + k >= 0 else []
+                    for form in forms:
+                        if [c for c, _ in there] == [c for c, _ in form[k : k + size]]:
+                            windows.add(k)
+                            pairs |= {(a, b) for (c, a), (_, b) in zip(form[k : k + size], there) if c < 16}
+                one_to_one = len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+                exact = all(a == b for a, b in pairs)
+                if windows and one_to_one and (rich or exact) and len(windows) >= min(3, len(rich or starts)):
+                    rows.add((d, i))
+    return rows
+
+
+def test_contamination_matches_the_definition(spark):
+    random.seed(12)
+    items = {
+        1: ITEM, 2: "what is seven plus five minus two", 3: "Ada met Bob and Cid in Rome near 3 lakes on day 9 of May",
+        4: "12 13 14 15 16 17 18 19 20", 5: "hello", 6: None, 7: "", 8: "... !", 9: "the old red hen ate all of the corn",
+    }
+    texts = {}
+    for n in range(300):
+        item = random.choice(list(items.values())) or ""
+        changed = [
+            random.choice([w, w.lower(), str(random.randrange(9)), "Zoe"]) if random.random() < n % 4 / 12 else w
+            for w in item.split()
+        ]
+        copy = " ".join(changed).lower() if n % 5 == 0 else " ".join(changed)
+        texts[n] = random.choice([f"{words(n, 5)} {copy} - {words(n + 1, 4)}", copy, words(n, 60), f"{copy} {copy}"])
+    table = docs(spark, *texts.values())
+    rows = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    found = decontam.contaminated(table.union(table), rows.union(rows)).collect()
+    got = sorted((r.doc_id, r.item_id) for r in found)
+    assert got == sorted(brute_contaminated(texts, items)) and {i for _, i in got} >= {1, 2, 3, 4, 5, 9}
+
+
+def test_repeated_rows_and_lower_case_copies(spark):
+    items = spark.createDataFrame([(1, "Mr Smith of London sold three old clocks to Mrs Brown of Leeds last week")], "item_id long, text string")
+    text = items.first().text
+    one_window = " ".join(text.split()[:8]) + " " + words(4, 20)
+    table = docs(spark, text.lower(), one_window)
+    found = decontam.contaminated(table.union(table).union(table), items).collect()
+    assert [(r.doc_id, r.exact) for r in found] == [(0, True)]
+
+
 # 5. Chat
 
 
@@ -231,6 +299,12 @@ def test_snapshots_collapse_to_maximal_conversations(spark):
     assert chat.chats(table.limit(0)).count() == 0
 
 
+def test_null_and_empty_roles_and_texts_differ(spark):
+    turns = [(1, 0, "x", None), (2, 0, None, "x"), (3, 0, "", "x"), (4, 0, "x", ""), (5, 0, None, "x")]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    assert sorted(r.conv_id for r in chat.chats(table).collect()) == [1, 2, 3, 4]
+
+
 # 6. Exact top-k
 
 

@@ -21,11 +21,12 @@ def turns_of(df: DataFrame) -> DataFrame:
     rows = pick(df, conv_id="conv_id", turn="turn", role="role", text="text")
     rows = rows.where("conv_id is not null and turn is not null").distinct()
     said = F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    pair = F.struct("role", "text")
+    # Hashes pass over nulls, so a null is marked to stand in its place.
+    role, text = (F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in ("role", "text"))
     rows = rows.select(
         "conv_id", "turn", said.alias("said"),
-        F.xxhash64(F.lit(1), "turn", F.hash(pair), "role", "text").alias("h1"),
-        F.xxhash64(F.lit(2), "text", "role", "turn").alias("h2"),
+        F.xxhash64(F.lit(1), "turn", role, text).alias("h1"),
+        F.xxhash64(F.lit(2), text, role, "turn").alias("h2"),
     )
     return rows.withColumn("block", F.floor(F.col("turn") / BLOCK).cast("long"))
 

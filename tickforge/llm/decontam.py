@@ -1,10 +1,13 @@
 """Benchmark passages in documents, also with other numbers, names and units.
 
 Words are canonicalised: numbers, capitalised names and units of measure become typed
-placeholders, everything else its lower-cased letters. Windows of eight canonical words,
-half of them at least literal, are hash-joined between benchmark and documents. Windows on
+placeholders, everything else its lower-cased letters. An item's windows of eight canonical
+words, half of them at least literal, are hash-joined with those of the documents; where an
+item holds names, also with the names as plain words, so that a lower-cased copy is found. An
+item without such a window counts with all its windows, and one of fewer words as a single
+window; where these have fewer than four literal words, only equal values match. Windows on
 one alignment (document position minus item position) are then added up, and the values in
-their slots must map consistently: one document value for each item value.
+their slots must map one to one.
 
 Documents are read once. Only windows that pass a filter of fixed size, built from the
 benchmark's window hashes, leave the task that found them; the join afterwards is exact.
@@ -26,8 +29,9 @@ WORDS = 8
 LITERALS = 4
 #: Windows an alignment needs, or all that the item has if those are fewer.
 LEAST_WINDOWS = 3
-#: Places in the filter: four megabytes, however large the benchmark is.
+#: Places in the filter, two for a hash: four megabytes, however large the benchmark is.
 FILTER = 1 << 22
+_PLACES = np.uint64(FILTER - 1)
 CACHE_WORDS = 1_000_000
 
 # Words read as numbers, and units of measure.
@@ -85,65 +89,97 @@ def canonical(word: str) -> int:
 _CODES = _Codes()
 
 
-def template_windows(text: str | None):
-    """(position, hash, words) of each window that has enough literal words."""
+def _coded(text: str | None):
+    """(codes, words) without mere punctuation."""
     words = (text or "").split()
-    if not words:
-        return [], np.zeros(0, np.uint64), words
     codes = np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
     some = np.flatnonzero(codes)
-    codes = codes[some]
-    if len(codes) < WORDS:
-        return [], np.zeros(0, np.uint64), words
-    literal = np.cumsum(np.concatenate([[0], codes >= _SLOTS]))
-    enough = literal[WORDS:] - literal[:-WORDS] >= LITERALS
-    at = np.flatnonzero(enough)
-    words = [words[k] for k in some] if len(some) < len(words) else words
-    sums = np.zeros(len(codes) - WORDS + 1, np.uint64)
-    for k, factor in enumerate(_FACTORS):
+    if len(some) < len(words):
+        codes, words = codes[some], [words[k] for k in some]
+    return codes, words
+
+
+def _keys(codes: np.ndarray, size: int) -> np.ndarray:
+    """One hash for every ``size`` words in a row."""
+    sums = np.full(max(0, len(codes) - size + 1), np.uint64(size % WORDS), np.uint64)
+    for k, factor in enumerate(_FACTORS[:size]):
         sums += codes[k : k + len(sums)] * factor
-    return at, mix(sums[at]), words
+    return mix(sums)
 
 
-def _slots(words, at):
+def _slots(codes, words, at, size):
     """Hashes of the values in the slots of one window, in order."""
-    values = (_EDGE.sub("", w) for w in words[at : at + WORDS] if 0 < _CODES[w] < _SLOTS)
-    return [_hash(v.lower()) - (1 << 63) for v in values]
+    slots = (words[k] for k in range(at, at + size) if codes[k] < _SLOTS)
+    return [_hash(_EDGE.sub("", w).lower()) - (1 << 63) for w in slots]
+
+
+def item_windows(text: str | None):
+    """(place, size, key, slots, windows, strict) of the windows that an item is known by."""
+    codes, words = _coded(text)
+    size = min(WORDS, len(codes))
+    if not size:
+        return
+    literal = np.convolve(codes >= _SLOTS, np.ones(size, int), "valid")
+    rich = np.flatnonzero(literal >= LITERALS)
+    strict = not len(rich)
+    at = np.arange(len(literal)) if strict else rich
+    names = codes == NAME
+    plain = codes.copy()
+    plain[names] = [_hash(_EDGE.sub("", words[k]).lower()) for k in np.flatnonzero(names)]
+    for number, form in enumerate((codes, plain)):
+        keys = _keys(form, size)
+        for k in at:
+            if not number or names[k : k + size].any():
+                yield int(k), size, int(keys[k]) - (1 << 63), _slots(form, words, k, size), len(at), strict
+
+
+def _templates(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        rows = [
+            (item, *window)
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for window in item_windows(text)
+        ]
+        names = ["id", "place", "size", "key", "slots", "windows", "strict"]
+        kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.int64(), pa.bool_()]
+        columns = zip(*rows) if rows else [[]] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 def _matches(wanted):
-    """Windows of each text: all, or those whose hash is marked in the filter."""
+    """Windows of each text whose hash is marked in the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        marked = None if wanted is None else wanted.value
+        marked, sizes = wanted.value
         for batch in batches:
-            ids, places, keys, slots, count = [], [], [], [], []
+            ids, places, keys, slots = [], [], [], []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                at, found, words = template_windows(text)
-                keep = range(len(at))
-                if marked is not None:
-                    keep = np.flatnonzero(marked[found & np.uint64(FILTER - 1)])
-                for k in keep:
-                    ids.append(doc)
-                    places.append(int(at[k]))
-                    keys.append(int(found[k]) - (1 << 63))
-                    slots.append(_slots(words, at[k]))
-                    count.append(len(at))
+                codes, words = _coded(text)
+                for size in sizes:
+                    found = _keys(codes, size)
+                    low, high = found & _PLACES, (found >> np.uint64(24)) & _PLACES
+                    for k in np.flatnonzero(marked[low] & marked[high]):
+                        ids.append(doc)
+                        places.append(int(k))
+                        keys.append(int(found[k]) - (1 << 63))
+                        slots.append(_slots(codes, words, k, size))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(places, pa.int64()),
                     pa.array(keys, pa.int64()),
                     pa.array(slots, pa.list_(pa.int64())),
-                    pa.array(count, pa.int64()),
                 ],
-                names=["id", "place", "key", "slots", "windows"],
+                names=["id", "place", "key", "slots"],
             )
 
     return run
 
 
-_FOUND = "id bigint, place bigint, key bigint, slots array<bigint>, windows bigint"
+_ITEMS = (
+    "id bigint, place bigint, size bigint, key bigint, slots array<bigint>, windows bigint, strict boolean"
+)
+_FOUND = "id bigint, place bigint, key bigint, slots array<bigint>"
 
 
 def contaminated(
@@ -155,28 +191,32 @@ def contaminated(
     Columns: doc_id, item_id, windows (of the best alignment), of_windows (the item's own),
     exact (all slot values equal; else the item came re-parameterised).
 
-    Whole texts are compared. Items without a single window (fewer than eight words, or too
-    few literal ones) match nothing; so do null texts and rows with a null id. Items or
-    documents that repeat an id are treated alike and give one row.
+    Whole texts are compared. Null texts, texts without words and rows with a null id match
+    nothing. Rows that repeat count once; of documents that repeat an id with other texts, the
+    windows are looked at together, and so are those of items.
     """
     docs = pick(df, id=doc_id, text=text).withColumn("id", F.col("id").cast("long"))
     items = pick(benchmark, id=item_id, text=item_text).withColumn("id", F.col("id").cast("long"))
     docs, items = docs.where("id is not null"), items.where("id is not null")
     with Scratch(df.sparkSession, "decontam") as scratch:
-        templates = scratch.keep(items.mapInArrow(_matches(None), _FOUND).distinct())
+        templates = scratch.keep(items.mapInArrow(_templates, _ITEMS).distinct())
         # At most FILTER / 62 rows of 62 places each, whatever the size of the benchmark.
-        places = templates.select(F.expr(f"key & {FILTER - 1}L").alias("p"))
+        both = f"array(key & {FILTER - 1}L, shiftright(key, 24) & {FILTER - 1}L)"
+        places = templates.select(F.explode(F.expr(both)).alias("p"))
         groups = places.groupBy(F.expr("p div 62").alias("word")).agg(
             F.bit_or(F.expr("shiftleft(1L, cast(p % 62 as int))")).alias("bits")
         )
         marked = np.zeros(FILTER + 62, bool)
         for word, bits in groups.collect():
             marked[62 * word + np.flatnonzero([bits >> k & 1 for k in range(62)])] = True
-        wanted = df.sparkSession.sparkContext.broadcast(marked)
-        found = scratch.keep(docs.mapInArrow(_matches(wanted), _FOUND))
+        # Eight sizes at most.
+        sizes = sorted(row["size"] for row in templates.select("size").distinct().collect())
+        wanted = df.sparkSession.sparkContext.broadcast((marked, sizes))
+        found = scratch.keep(docs.mapInArrow(_matches(wanted), _FOUND).distinct())
         pairs = found.selectExpr("id as doc_id", "place", "key", "slots").join(
             templates.selectExpr(
-                "id as item_id", "place as at", "key", "slots as own", "windows as of_windows"
+                "id as item_id", "place as at", "key", "slots as own", "windows as of_windows",
+                "strict",
             ),
             "key",
         )
@@ -184,29 +224,35 @@ def contaminated(
 
 
 def _consistent(pairs):
-    """Alignments with enough windows whose slots map one value to one value."""
-    slot = pairs.select(
-        "doc_id", "item_id", "of_windows", (F.col("place") - F.col("at")).alias("offset"),
-        F.posexplode_outer(F.arrays_zip("own", "slots")).alias("k", "slot"),
+    """Alignments with enough windows whose slots map values one to one."""
+    alignment = ["doc_id", "item_id", "offset"]
+    slot = pairs.where("size(own) = size(slots)").select(
+        "doc_id", "item_id", (F.col("place") - F.col("at")).alias("offset"), "of_windows", "strict",
+        F.col("place"), F.posexplode_outer(F.arrays_zip("own", "slots")).alias("k", "slot"),
     ).select(
-        "doc_id", "item_id", "of_windows", "offset",
-        F.expr("cast(coalesce(k, 0) = 0 as long)").alias("window"),
+        *alignment, "of_windows", "strict",
+        F.when(F.coalesce("k", F.lit(0)) == 0, F.col("place")).alias("window"),
         F.col("slot.own").alias("own"), F.col("slot.slots").alias("value"),
     )
-    alignment = ["doc_id", "item_id", "offset"]
     by_value = slot.groupBy(*alignment, "own").agg(
-        F.sum("window").alias("windows"),
+        F.collect_set("window").alias("places"),
         F.max("of_windows").alias("of_windows"),
+        F.max("strict").alias("strict"),
+        F.max("value").alias("value"),
         F.expr("max(value) <=> min(value)").alias("same"),
         F.expr("max(value) <=> own").alias("equal"),
     )
     by_alignment = by_value.groupBy(*alignment).agg(
-        F.sum("windows").alias("windows"),
+        # A window counts once, also where it is known with names and without.
+        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("windows"),
         F.max("of_windows").alias("of_windows"),
-        F.min("same").alias("same"),
+        F.max("strict").alias("strict"),
+        F.expr("min(same) and count(own) = size(collect_set(value))").alias("same"),
         F.min("equal").alias("exact"),
     )
-    enough = F.expr(f"same and windows >= least({LEAST_WINDOWS}, of_windows)")
+    enough = F.expr(
+        f"same and (exact or not strict) and windows >= least({LEAST_WINDOWS}, of_windows)"
+    )
     best = by_alignment.where(enough).groupBy("doc_id", "item_id")
     return best.agg(
         F.max("windows").alias("windows"),
