@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +15,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tickforge.llm import bpe, chat, decontam, fagin, gbt, langid, lmscore, neardup, pii, quality, topk, warc
+from tickforge.llm import bpe, chat, decontam, fagin, gbt, langid, lmscore, mixing, neardup, pii, quality, topk, warc
 from tickforge.llm.common import Scratch, rows_of, rows_without
 from tickforge.llm.graph import components
 from tickforge.llm.queries import TOKENIZER
@@ -468,3 +469,139 @@ def test_language_sample_is_the_first_ids_of_each_language(spark):
         first = placed[placed["lang"] == lang]["doc_id"][:50]
         assert sorted(found[found["lang"] == lang]["doc_id"]) == sorted(first)
     assert found[found["lang"] == "fr"]["doc_id"].tolist() == [7]
+
+
+# Samples, settings and brute force of the fitted models
+
+
+def test_repeated_ids_neither_flood_nor_empty_the_samples(spark, monkeypatch):
+    """One id repeated 2,000 times with different texts, among 60 others of its language."""
+    sizes = []
+    collect = type(spark.range(1)).toPandas
+
+    def counting(df):
+        found = collect(df)
+        sizes.append(len(found))
+        return found
+
+    monkeypatch.setattr(type(spark.range(1)), "toPandas", counting)
+    texts = [f"the number {n} the and a.b{n}@c.de 4111 1111 1111 1111" for n in range(2060)]
+    rows = [(0 if n < 2000 else 4 * n, t, "en") for n, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ids = sorted({r[0] for r in rows})
+    learnt = [i for i in ids if zlib.crc32(str(i).encode()) % 4 != 2]
+    chosen = langid._chosen(table.where(~langid.held_out("doc_id")).select("doc_id", "lang"), 1500)
+    assert sorted(r.doc_id for r in chosen.collect()) == learnt
+    langid.fit(table, 30)
+    assert max(sizes) <= 30
+    labels = spark.createDataFrame([(i, i % 8 // 4) for i in ids] * 50, "doc_id long, label int")
+    quality.fit(table, labels, 40)
+    assert max(sizes) <= 40
+    sizes.clear()
+    pii.fit(table, 20)
+    assert sum(sizes) <= 20 * 16
+
+
+def test_languages_answer_as_a_plain_loop_does():
+    rng = np.random.default_rng(5)
+    model = langid.Model(["a", "b", "c"], rng.normal(size=(langid.BUCKETS, 3)), rng.normal(size=3), 0.7, 0.4)
+    for text in ("The quick fox", "ÄÖ ü " * 400_000, "x"):
+        counts = langid.subword_counts(text)
+        logits = [
+            (sum(int(counts[b]) * model.table[b, k] for b in np.flatnonzero(counts)) / counts.sum() + model.bias[k]) / 0.7
+            for k in range(3)
+        ]
+        shares = [math.exp(x - max(logits)) for x in logits]
+        name, score = model.predict(text)
+        assert name == "abc"[int(np.argmax(logits))] and score == pytest.approx(max(shares) / sum(shares))
+    assert model.predict("12 !?") == ("und", 0.0) and model.predict(None) == ("und", 0.0)
+
+
+def scalar_walk(model, row):
+    """A row down every tree by comparisons, one at a time."""
+    total = model.bias
+    for feature, threshold, leaf in zip(model.feature, model.threshold, model.leaf):
+        node = 0
+        while node < len(feature):
+            node = 2 * node + (2 if row[feature[node]] > threshold[node] else 1)
+        total += leaf[node - len(feature)]
+    return 1 / (1 + math.exp(-(model.scale * total + model.shift)))
+
+
+def test_trees_score_as_a_scalar_walk_does():
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(3000, 4))
+    rows[:50] = 0
+    labels = (rows[:, 0] + rows[:, 2] ** 2 > 0.5) | (rng.random(3000) < 0.1)
+    model = gbt.fit(rows, labels)
+    assert model.probability(rows[:300]) == pytest.approx([scalar_walk(model, row) for row in rows[:300]])
+
+
+def brute_losses(texts, targets, word_share, bigram_share):
+    """Mean losses of both models by plain counters."""
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    counts = [Counter(w for i, s in enumerate(split) if i in which for w in s) for which in (range(len(texts)), targets)]
+    total = [sum(c.values()) for c in counts]
+    keep = lambda c, share: {w for w in c[0] if any(c[k][w] and c[k][w] >= share * total[k] for k in (0, 1))}
+    known = keep(counts, word_share)
+    ids = [["<s>", *(w if w in known else "?" for w in s)] for s in split]
+    pairs = [Counter(p for i, s in enumerate(ids) if i in which for p in zip(s, s[1:])) for which in (range(len(texts)), targets)]
+    often = keep(pairs, bigram_share)
+    size, losses = len(known) + 2, []
+    for k, weight in ((0, total[1] / total[0]), (1, 1.0)):
+        single = Counter(w for i, s in enumerate(ids) if i in (range(len(texts)), targets)[k] for w in s[1:])
+        starts = sum(texts[i] is not None for i in (range(len(texts)), targets)[k])
+
+        def loss(a, b, k=k, weight=weight, single=single, starts=starts):
+            one = (weight * single[b] + 1) / (weight * total[k] + size - 1)
+            context = starts if a == "<s>" else single[a]
+            blend = lmscore.BLEND if context else 0
+            own = blend * pairs[k][a, b] / context if context and (a, b) in often else 0
+            return -math.log(own + (1 - blend) * one)
+
+        losses.append([np.mean([loss(*p) for p in zip(s, s[1:])]) if len(s) > 1 else None for s in ids])
+    return losses[1], losses[0]
+
+
+@pytest.mark.parametrize("shares", [(1e-5, 1e-6), (0.02, 0.01)])
+def test_losses_are_those_of_plain_counters(spark, monkeypatch, shares):
+    monkeypatch.setattr(lmscore, "WORD_SHARE", shares[0])
+    random.seed(14)
+    texts = [" ".join(random.choices("abcdefghijklmnop"[: 4 + n % 12], k=random.randint(1, 40))) for n in range(80)]
+    texts += [None, "", texts[0], "rare words here " * 9, "x " * 30_000]
+    targets = set(range(0, 80, 7)) | {83}
+    table = docs(spark, *texts)
+    marked = table.select("text", F.col("doc_id").isin(list(targets)).alias("target"))
+    models = lmscore.train(marked, *shares)
+    want = brute_losses(texts, targets, *shares)
+    for n, text in enumerate(texts):
+        _, target, background = models.score(text)
+        got = [target, background]
+        assert got == [None, None] if want[0][n] is None else got == pytest.approx([w[n] for w in want])
+
+
+def test_a_file_with_two_ways_to_a_token_is_refused():
+    vocab = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"bc": 257, b"abc": 258}
+    with pytest.raises(ValueError, match="several merges"):
+        bpe.Automaton(vocab, [(97, 98), (98, 99), (256, 99), (97, 257)], {})
+
+
+def test_no_operator_leaves_a_setting_behind(spark, tmp_path):
+    def settings():
+        return {r.key: r.value for r in spark.sql("SET").collect()}
+
+    before = settings()
+    table = docs(spark, *[words(n, 30) for n in range(8)], None)
+    table = table.withColumn("lang", F.lit("en"))
+    bpe.encode(table, PATH).collect()
+    neardup.near_duplicates(table, words=2).collect()
+    langid.languages(table).collect()
+    pii.personal_data(table).collect()
+    labels = spark.createDataFrame([(n, n % 2) for n in range(8)], "doc_id long, quality int")
+    quality.quality_scores(table, labels).collect()
+    lmscore.cross_entropy_difference(table, labels).collect()
+    decontam.contaminated(table, spark.createDataFrame([(1, ITEM)], "item_id long, text string")).collect()
+    pages = spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string")
+    warc.read_archives(warc.write_archives(pages, str(tmp_path)), str(tmp_path)).collect()
+    mixing.mix(table).collect()
+    assert settings() == before

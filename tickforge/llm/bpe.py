@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import pick
+from tickforge.llm.common import in_slices, pick
 
 #: Distinct words a worker remembers before it starts anew, and the longest it keeps.
 CACHE_WORDS = 800_000
@@ -66,7 +66,11 @@ def read_tokenizer(path: str) -> dict:
 
 
 class Automaton:
-    """The token automaton of one tokenizer, with its encoder and decoder."""
+    """The token automaton of one tokenizer, with its encoder and decoder.
+
+    A file in which several merges make the same token is refused with a ValueError: arcs are
+    undone along one derivation of a token.
+    """
 
     def __init__(self, vocab: dict[bytes, int], merges, special: dict[str, int]):
         self.special = special
@@ -103,9 +107,11 @@ class Automaton:
             # The copy of a's state loses arc b.
             self.removed[a * size + b] = time
             # Arc c leaves wherever arc a leaves, and enters the state of b.
-            if not self.reachable[joined]:
-                self.reachable[joined] = True
-                self.left[joined], self.right[joined], self.born[joined] = a, b, time
+            if self.reachable[joined]:
+                label = self.labels[joined]
+                raise ValueError(f"token {label!r} has several merges; gadgets are built for one")
+            self.reachable[joined] = True
+            self.left[joined], self.right[joined], self.born[joined] = a, b, time
 
     def _has_arc(self, owner: int, label: int) -> bool:
         """Whether the state after ``owner`` has the arc ``label``.
@@ -237,7 +243,7 @@ def encode(
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, ids binary" + ", decoded string" * decoded
     names = ["doc_id", "ids", "decoded"][: 2 + decoded]
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(in_slices(run), schema)
 
 
 def decode(df: DataFrame, tokenizer_path: str, doc_id="doc_id", ids="ids") -> DataFrame:
@@ -252,7 +258,7 @@ def decode(df: DataFrame, tokenizer_path: str, doc_id="doc_id", ids="ids") -> Da
 
     rows = pick(df, doc_id=doc_id, ids=ids)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text string")
+    return rows.mapInArrow(in_slices(run), f"doc_id {kind}, text string")
 
 
 def token_count(ids="ids") -> F.Column:

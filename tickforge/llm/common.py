@@ -8,23 +8,39 @@ from pyspark.sql import functions as F
 
 from tickforge.session import run_folder
 
-#: Rows in one Arrow batch. Texts may hold a megabyte each, so batches stay small.
+#: Texts that an Arrow function takes at a time. Spark bounds its batches by bytes, but what
+#: is made of a text may be larger than the text.
 BATCH_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; small Arrow batches from here on."""
+    """One of the given tables."""
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_slices(run):
+    """A function over Arrow batches, given pieces of ``BATCH_ROWS`` rows at most.
+
+    So no session setting is needed, and none is left behind.
+    """
+
+    def sliced(batches):
+        return run(
+            batch.slice(start, BATCH_ROWS)
+            for batch in batches
+            for start in range(0, batch.num_rows, BATCH_ROWS)
+        )
+
+    return sliced
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small enough for an executor's memory.
+    """Let workers find this package.
 
-    Workers on machines that have this folder also find the package there, wherever the
-    driver was started; elsewhere it comes with ``--py-files``.
+    Workers on machines that have this folder find the package there, wherever the driver was
+    started; elsewhere it comes with ``--py-files``.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:

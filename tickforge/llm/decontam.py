@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import Scratch, pick
+from tickforge.llm.common import Scratch, in_slices, pick
 from tickforge.llm.shingles import mix
 
 WORDS = 8
@@ -199,7 +199,7 @@ def contaminated(
     items = pick(benchmark, id=item_id, text=item_text).withColumn("id", F.col("id").cast("long"))
     docs, items = docs.where("id is not null"), items.where("id is not null")
     with Scratch(df.sparkSession, "decontam") as scratch:
-        templates = scratch.keep(items.mapInArrow(_templates, _ITEMS).distinct())
+        templates = scratch.keep(items.mapInArrow(in_slices(_templates), _ITEMS).distinct())
         # At most FILTER / 62 rows of 62 places each, whatever the size of the benchmark.
         both = f"array(key & {FILTER - 1}L, shiftright(key, 24) & {FILTER - 1}L)"
         places = templates.select(F.explode(F.expr(both)).alias("p"))
@@ -212,7 +212,7 @@ def contaminated(
         # Eight sizes at most.
         sizes = sorted(row["size"] for row in templates.select("size").distinct().collect())
         wanted = df.sparkSession.sparkContext.broadcast((marked, sizes))
-        found = scratch.keep(docs.mapInArrow(_matches(wanted), _FOUND).distinct())
+        found = scratch.keep(docs.mapInArrow(in_slices(_matches(wanted)), _FOUND).distinct())
         pairs = found.selectExpr("id as doc_id", "place", "key", "slots").join(
             templates.selectExpr(
                 "id as item_id", "place as at", "key", "slots as own", "windows as of_windows",

@@ -16,10 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import held_out, pick, spread
+from tickforge.llm.common import Scratch, held_out, in_slices, pick, spread
 
 #: Rows of a language that the model is fitted on, at most.
 SAMPLE_ROWS = 1_500
+#: Values of ``lang`` that are learnt, the most frequent ones, and rows of all together.
+LANGUAGES = 500
+TOTAL_ROWS = 24_000
 BUCKETS = 4096
 WIDTH = 16
 UNKNOWN = "und"
@@ -73,10 +76,27 @@ def _softmax(x):
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(counts: np.ndarray, targets: np.ndarray, languages: list[str], epochs=20) -> Model:
+class Sparse:
+    """Rows of subword counts as they came: places and counts, dense a few rows at a time."""
+
+    def __init__(self, rows):
+        self.rows = [(np.asarray(p, np.uint16), np.asarray(c, np.float32)) for p, c in rows]
+
+    def __len__(self):
+        return len(self.rows)
+
+    def average(self, which) -> np.ndarray:
+        """The share of every bucket in each of the chosen rows."""
+        out = np.zeros((len(which), BUCKETS), np.float32)
+        for line, row in enumerate(which):
+            places, counts = self.rows[row]
+            out[line, places] = counts / max(counts.sum(), 1)
+        return out
+
+
+def train(counts: Sparse, targets: np.ndarray, languages: list[str], epochs=20) -> Model:
     """Fit on rows of subword counts; ``targets`` index ``languages``."""
     random = np.random.default_rng(11)
-    average = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
     order = random.permutation(len(counts))
     aside, used = order[: len(order) // 5], order[len(order) // 5 :]
     table = random.normal(0, 0.1, (BUCKETS, WIDTH))
@@ -85,9 +105,10 @@ def train(counts: np.ndarray, targets: np.ndarray, languages: list[str], epochs=
     truth = np.eye(len(languages))[targets]
     for epoch in range(epochs):
         rate = 1.0 * (1 - epoch / epochs)
+        used = random.permutation(used)
         for start in range(0, len(used), 32):
-            rows = random.permutation(used)[:32] if start == 0 else used[start : start + 32]
-            x = average[rows]
+            rows = used[start : start + 32]
+            x = counts.average(rows)
             hidden = x @ table
             wrong = (_softmax(hidden @ layer + bias) - truth[rows]) / len(rows)
             back = wrong @ layer.T
@@ -96,13 +117,14 @@ def train(counts: np.ndarray, targets: np.ndarray, languages: list[str], epochs=
             table -= rate * 40 * (x.T @ back)
     model = Model(languages, table @ layer, bias, 1.0, 0.0)
     if len(aside):
-        _calibrate(model, average[aside], targets[aside])
+        pieces = [aside[start : start + 256] for start in range(0, len(aside), 256)]
+        logits = np.concatenate([counts.average(piece) @ model.table + model.bias for piece in pieces])
+        _calibrate(model, logits, targets[aside])
     return model
 
 
-def _calibrate(model, average, targets):
+def _calibrate(model, logits, targets):
     """Temperature by likelihood; rejection so that 1 in 500 right answers would go."""
-    logits = average @ model.table + model.bias
     every = np.arange(len(targets))
     grid = np.exp(np.linspace(np.log(0.05), np.log(5), 60))
     losses = [-np.log(_softmax(logits / t)[every, targets] + 1e-9).mean() for t in grid]
@@ -116,21 +138,32 @@ def _calibrate(model, average, targets):
 
 
 def fit(df: DataFrame, sample_rows=SAMPLE_ROWS) -> Model:
-    """Model from (doc_id, text, lang): at most ``sample_rows`` rows of each language."""
+    """Model from (doc_id, text, lang): at most ``sample_rows`` ids of each language.
+
+    The most frequent ``LANGUAGES`` values of ``lang`` are learnt, and ``TOTAL_ROWS`` rows in
+    all, so that the driver's memory is bounded. Of rows that repeat an id and a language the
+    smallest text is taken.
+    """
     known = df.where("lang is not null and text is not null and doc_id is not null")
     known = known.where(~held_out("doc_id"))
-    chosen = _chosen(known.select("doc_id", "lang"), sample_rows)
+    with Scratch(df.sparkSession, "langid") as scratch:
+        return _fit(known, scratch.keep(_chosen(known.select("doc_id", "lang"), sample_rows)))
+
+
+def _fit(known: DataFrame, chosen: DataFrame) -> Model:
     texts = known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+    texts = texts.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
     sample = texts.select("doc_id", "text", "lang").mapInArrow(
-        _sparse, "doc_id bigint, lang string, buckets binary, counts binary"
+        in_slices(_sparse), "doc_id bigint, lang string, buckets binary, counts binary"
     )
     found = sample.toPandas().sort_values(["doc_id", "lang", "buckets", "counts"])
     languages = sorted(found["lang"].unique())
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
-    counts = np.zeros((len(found), BUCKETS), np.float32)
-    for row, (buckets, often) in enumerate(zip(found["buckets"], found["counts"])):
-        counts[row, np.frombuffer(buckets, "<u2")] = np.frombuffer(often, "<u4")
+    counts = Sparse(
+        (np.frombuffer(buckets, "<u2"), np.frombuffer(often, "<u4"))
+        for buckets, often in zip(found["buckets"], found["counts"])
+    )
     place = {name: n for n, name in enumerate(languages)}
     return train(counts, found["lang"].map(place).to_numpy(), languages)
 
@@ -141,10 +174,12 @@ def _chosen(known: DataFrame, sample_rows: int) -> DataFrame:
     A language may hold most rows, so they are not ranked: counts by language set a level
     that about twice the wanted rows lie below, and only those meet in one task.
     """
-    rows = known.withColumn("_place", spread("doc_id", 9))
+    rows = known.distinct().withColumn("_place", spread("doc_id", 9))
     levels = rows.groupBy("lang").agg(
         F.expr("count(*) as _rows"), F.min("_place").alias("_least")
     )
+    levels = levels.orderBy(F.desc("_rows"), "lang").limit(LANGUAGES)
+    sample_rows = min(sample_rows, max(1, TOTAL_ROWS // max(1, levels.count())))
     # Places are spread evenly over all longs; the least one keeps every language in.
     share = f"{2.0 * sample_rows}D / _rows - 0.5D"
     levels = levels.selectExpr(
@@ -157,7 +192,6 @@ def _chosen(known: DataFrame, sample_rows: int) -> DataFrame:
     by_language = Window.partitionBy("lang").orderBy("_place", "doc_id")
     return (
         few.select("doc_id", "lang", "_place")
-        .distinct()
         .withColumn("_rank", F.row_number().over(by_language))
         .where(F.col("_rank") <= sample_rows)
         .select("doc_id", "lang")
@@ -216,7 +250,7 @@ def languages(
             )
 
     answers = docs.select("doc_id", "text").mapInArrow(
-        predict, "doc_id bigint, lang_pred string, score double, rejected boolean"
+        in_slices(predict), "doc_id bigint, lang_pred string, score double, rejected boolean"
     )
     return answers.select(
         "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected"
@@ -243,4 +277,4 @@ def known_languages(df: DataFrame, text="text", sample_rows=SAMPLE_ROWS) -> Data
         for batch in batches:
             yield batch.filter(pa.array(map(keep, batch.column(column).to_pylist()), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(in_slices(run), df.schema)

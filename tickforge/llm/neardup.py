@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import Scratch, pick, rows_of
+from tickforge.llm.common import Scratch, in_slices, pick, rows_of
 from tickforge.llm.graph import components
 from tickforge.llm.shingles import mix, shingle_set
 
@@ -222,7 +222,7 @@ def near_duplicates(
     with Scratch(df.sparkSession, "neardup") as scratch:
         sketches = scratch.keep(
             docs.mapInArrow(
-                _sketches(words), "doc_id bigint, n bigint, print binary, bands array<bigint>"
+                in_slices(_sketches(words)), "doc_id bigint, n bigint, print binary, bands array<bigint>"
             )
         )
         classes = scratch.keep(
@@ -235,7 +235,7 @@ def near_duplicates(
         ids = buckets.select(F.col("node").alias("doc_id"))
         candidates = scratch.keep(
             rows_of(docs, ids, "doc_id", scratch).mapInArrow(
-                _with_registers(words), "node bigint, n bigint, registers binary, text string"
+                in_slices(_with_registers(words)), "node bigint, n bigint, registers binary, text string"
             ).where("n > 0")
         )
         closed = _closed(buckets, candidates, words, percent, scratch)

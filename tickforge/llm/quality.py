@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.llm import gbt
-from tickforge.llm.common import held_out, pick, spread
+from tickforge.llm.common import held_out, in_slices, pick, spread
 from tickforge.llm.shingles import word_hashes
 
 #: Labelled rows the trees are fitted on, at most: those first in a fixed random order.
@@ -92,11 +92,15 @@ def fit(df: DataFrame, labels: DataFrame, sample_rows=SAMPLE_ROWS) -> gbt.Trees:
     """Trees from at most ``sample_rows`` labelled rows (doc_id, label 0 or 1)."""
     chosen = (
         labels.where("label in (0, 1) and doc_id is not null")
+        .select("doc_id", "label")
+        .distinct()
         .orderBy(spread("doc_id", 3), "doc_id", "label")
         .limit(sample_rows)
     )
     texts = df.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
-    known = texts.mapInArrow(_rows, "doc_id bigint, features binary").toPandas()
+    # One text for each id: no more rows than were chosen.
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
+    known = texts.mapInArrow(in_slices(_rows), "doc_id bigint, features binary").toPandas()
     both = known.merge(chosen.toPandas(), on="doc_id").sort_values(["doc_id", "label", "features"])
     rows = np.frombuffer(b"".join(both["features"]), float).reshape(-1, WIDTH)
     return gbt.fit(rows, both["label"].to_numpy())
@@ -111,7 +115,8 @@ def quality_scores(
     ``labels`` has doc_id and a 0/1 label. Ids with crc32 mod 4 = 2 are held out: their
     labels are never read. Scores depend on the text alone. Null texts count as empty;
     null ids are scored and count as not held out; labels that are null or neither 0 nor 1
-    are passed over. Without labels of both kinds every row gets the same score.
+    are passed over. Of rows that repeat an id all are scored, and the smallest text is
+    learnt from. Without labels of both kinds every row gets the same score.
     """
     docs = pick(df, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     known = pick(labels, doc_id="doc_id", label=label).where(~held_out("doc_id"))
@@ -125,7 +130,7 @@ def quality_scores(
                     [batch.column(0), pa.array(trees.probability(rows))], names=["doc_id", "score"]
                 )
 
-    scored = docs.mapInArrow(score, "doc_id bigint, score double")
+    scored = docs.mapInArrow(in_slices(score), "doc_id bigint, score double")
     return scored.select(
         "doc_id",
         held_out("doc_id").alias("held_out"),

@@ -307,7 +307,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                         found, size = [], 0
                 yield pa.RecordBatch.from_pylist(found, schema)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    # An archive has about as many bytes as Spark puts into one batch.
     return archives.select("content").mapInArrow(run, _RECORD)
 
 
