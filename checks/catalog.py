@@ -1,6 +1,8 @@
 """Every registered query. Dates and instants are given as text and floating
 results rounded to six places, so that two engines can be compared exactly."""
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -20,9 +22,10 @@ from tickforge.operators import (
     rolling,
 )
 from tickforge.plans import features, market
+from tickforge.plans.completeness import table_completeness
 from tickforge.schemas import CONDITION_CODES, ENRICHED_COLUMNS, FEATURE_COLUMNS, LABEL_COLUMNS
 from tickforge.schemas import KEYS, RECO_COUNTS, RECOS, TRADE_MESSAGE
-from tickforge.session import run_folder, session_conf
+from tickforge.session import run_folder, session_conf, stage
 from tickforge.sinks import files as sinks
 from tickforge.sources import files as sources
 from tickforge.sources import streams
@@ -91,6 +94,55 @@ def index_exchange_by_day(spark, sf):
     return coded.select("id", "exchange", "exchange_index")
 
 
+def index_exchange_merged(spark, sf):
+    """Codes from label counts that were saved in two goes, one day in both."""
+    root = run_folder(spark, "labels")
+    trades = given.trades(spark, sf)
+    for part in ("event_date <= '{}'", "event_date >= '{}'"):
+        labels.save_label_counts(trades.where(part.format(DAY)), root, LABEL_COLUMNS)
+    coded = labels.apply_labels(trades, labels.saved_labels(spark, root), LABEL_COLUMNS)
+    return coded.select("id", "exchange", "exchange_index")
+
+
+def rolling_incremental(spark, sf):
+    """Four parts of each day in order of time, each computed from the last ten trades before."""
+    trades = given.trades(spark, sf)
+    hour = F.hour("timestamp_parsed")
+    last, parts = rolling.last_trades(trades.limit(0)), []
+    for part in range(4):
+        new = trades.where(F.floor(hour / 6) == part)
+        rolled, following = rolling.rolling_increment(new, last)
+        parts.append(rolled)
+        last = stage(following, "last-trades")
+    rolled = reduce(lambda a, b: a.unionByName(b), parts)
+    return _text(
+        rolled.select("id", "rolling_avg_price", "rolling_std_price", "cumulative_volume")
+    )
+
+
+def parquet_file(spark, sf):
+    """A single table written as parquet and read as it is."""
+    path = run_folder(spark, "file")
+    given.recos(spark, sf).write.parquet(path)
+    return _text(sources.read_parquet_file(spark, path))
+
+
+def landing_restarted(spark, sf):
+    """Two runs on one checkpoint, the second with new messages only, by gathered steps."""
+    folder = run_folder(spark, "landing-restarted")
+    sent = given.messages(spark, sf)
+    lines = sent.select(encode(*sent.columns).alias("value"), F.col("payload.id").alias("id"))
+    for part in range(4):
+        lines.where(F.col("id") % 4 == part).select("value").write.mode("append").text(f"{folder}/in")
+        stream = streams.folder_stream(spark, f"{folder}/in")
+        _run(landing.landing_steps(stream, f"{folder}/raw", f"{folder}/checkpoint", gather_after=2))
+    landed = landing.landed_text(spark, f"{folder}/raw")
+    number = F.get_json_object("value", "$.payload.id").cast("long").alias("id")
+    symbol = F.get_json_object("value", "$.symbol").alias("symbol")
+    day = F.get_json_object("value", "$.event_date").alias("event_date")
+    return landed.select(number, symbol, day, "feed", "reason")
+
+
 def rolling_features(spark, sf):
     rolled = rolling.rolling_features(given.trades(spark, sf))
     return _text(
@@ -243,11 +295,12 @@ def message_chunks(spark, sf):
 
 
 def chunk_messages(spark, sf):
-    """The arrays themselves: ids in order, taken back out of the JSON text."""
-    trades = given.trades(spark, sf).select(*KEYS, "id", "price", "size")
+    """The arrays themselves, as text: times to the microsecond and NULLs included."""
+    trades = given.trades(spark, sf).select(
+        *KEYS, "id", "price", "size", "timestamp_parsed", F.expr("nullif(tape, 'B') as tape")
+    )
     made = chunks.message_chunks(trades, ["id"], size=25)
-    ids = F.from_json("messages", "array<struct<id:bigint>>")["id"].cast("array<string>")
-    return _text(made.select(*KEYS, "chunk", F.array_join(ids, ",").alias("ids")))
+    return _text(made.select(*KEYS, "chunk", "messages"))
 
 
 def latest_per_key(spark, sf):
@@ -264,12 +317,17 @@ def completeness_one_day(spark, sf):
 
 
 def completeness_files(spark, sf):
-    """Rows and files of each symbol and day in a table that was written by partition."""
+    """Rows and files of each symbol and day, from listing and footers of a table by partition.
+
+    Even ids are written first, odd ones added: a day with both has two files.
+    """
     path = run_folder(spark, "completeness")
     trades = given.trades(spark, sf)
-    sinks.write_table(trades, path)
-    table = quality.with_source_file(sources.read_table(spark, path, trades.schema))
-    return _text(quality.completeness(table, given.EXPECTED_SYMBOLS))
+    sinks.write_table(trades.where("id % 2 = 0"), path)
+    odd = trades.where("id % 2 <> 0").hint("rebalance", *KEYS)
+    odd.write.mode("append").partitionBy(*KEYS).parquet(path)
+    symbols = spark.createDataFrame([(s,) for s in given.EXPECTED_SYMBOLS], "symbol string")
+    return _text(table_completeness(spark, path, symbols))
 
 
 def missing_symbols(spark, sf):
@@ -594,4 +652,8 @@ QUERIES = {
     "redriven": redriven,
     "message_totals": message_totals,
     "bars_streamed": bars_streamed,
+    "index_exchange_merged": index_exchange_merged,
+    "rolling_incremental": rolling_incremental,
+    "parquet_file": parquet_file,
+    "landing_restarted": landing_restarted,
 }

@@ -309,8 +309,12 @@ latest as (
     "chunk_messages": _with(
         TRADES,
         _CHUNKED,
-        f""" select symbol, {_DAY.format("event_date")} as event_date, chunk,
-        string_agg(id, ',' order by id) as ids from numbered group by all""",
+        f""" select n.symbol, {_DAY.format("n.event_date")} as event_date, chunk,
+        '[' || string_agg('{{"symbol":"' || n.symbol || '","event_date":"' ||
+        {_DAY.format("n.event_date")} || '","id":' || id || ',"price":' || price || ',"size":' ||
+        size || ',"timestamp_parsed":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '","tape":' ||
+        case tape when 'B' then 'null' else '"' || tape || '"' end || '}}', ',' order by id) || ']'
+        as messages from numbered n join trades using (id) group by all""",
     ),
     "latest_per_key": _with(
         TRADES,
@@ -321,11 +325,13 @@ latest as (
     "completeness_one_day": _with(
         TRADES, _EXPECTED, _COMPLETENESS.format("where event_date = date '2024-01-10'")
     ),
-    # One file per partition: none of these is larger than a file may be.
+    # Two goes of one file per partition: none of these is larger than a file may be.
     "completeness_files": _with(
         TRADES,
         _EXPECTED,
-        f"select *, least(n_rows, 1) as n_files from ({_COMPLETENESS.format('')})",
+        f"""select c.*, coalesce(f.n_files, 0) as n_files from ({_COMPLETENESS.format('')}) c
+        left join (select symbol, {_DAY.format("event_date")} as event_date,
+        count(distinct id % 2) as n_files from trades group by all) f using (symbol, event_date)""",
     ),
     "missing_symbols": _with(
         TRADES,
@@ -451,3 +457,9 @@ intime as (
     select max(ts) filter (id % 97 <> 5) - interval 1 day as watermark from trades)
   where id % 97 <> 5 or ts >= watermark)"""
 SQL["bars_streamed"] = _with(TRADES, _LATE, bars_cte("1 hour", "intime"), _bar_select())
+SQL |= {
+    "index_exchange_merged": SQL["index_exchange"],
+    "rolling_incremental": SQL["rolling_features"],
+    "parquet_file": _with(RECOS, f" select {_RECO_COLUMNS} from recos"),
+    "landing_restarted": SQL["landing_stream"],
+}

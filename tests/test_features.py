@@ -3,6 +3,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickforge.functions import clock
@@ -227,6 +228,24 @@ def test_feature_table_from_raw_messages(spark):
     assert second.condition_at is None and second.cumulative_volume == 10.0
 
 
+@pytest.mark.parametrize("target", [15, 2_000_000])
+def test_increments_equal_the_whole_day(spark, make_trades, target):
+    trades = _random_trades(make_trades, 21, range(900), "HOT")
+    whole = rolling.rolling_features(trades).orderBy("id").collect()
+    order = trades.withColumn("n", F.ntile(4).over(Window.orderBy(*ORDER_COLUMNS)))
+    last, got = rolling.last_trades(trades.limit(0)), []
+    for part in range(1, 5):
+        new = order.where(F.col("n") == part).drop("n")
+        assert rolling.overtaken_keys(new, last).count() == 0
+        rolled, following = rolling.rolling_increment(new, last, target)
+        got += rolled.select(whole[0].__fields__).collect()
+        last = spark.createDataFrame(following.collect(), following.schema)
+    assert sorted(got, key=lambda r: r.id) == whole
+    assert {r["count"] for r in last.groupBy(*KEYS).count().collect()} <= set(range(1, 11))
+    early = trades.limit(1).withColumn("timestamp_parsed", F.lit(None).cast("timestamp"))
+    assert rolling.overtaken_keys(early, last).count() == 1
+
+
 def test_rolling_columns_share_one_window(make_trades):
     plan = rolling.rolling_features(make_trades({})).select(F.col("rolling_avg_price"))
     text = plan._jdf.queryExecution().executedPlan().toString()

@@ -3,6 +3,10 @@ from pathlib import Path
 
 import pytest
 
+from tickforge.sources import files
+from tickforge.plans.completeness import table_completeness
+from tickforge.session import session_conf
+from tickforge.schemas import KEYS
 from tickforge.operators.bars import price_bars
 from tickforge.operators.enrich import enrich_day
 from tickforge.schemas import BARS, RECOS, TRADE_MESSAGE
@@ -120,3 +124,32 @@ def test_session_settings(spark, monkeypatch):
             require_utc(spark)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_inventory_counts_files_and_footers(spark, make_trades, tmp_path):
+    root = str(tmp_path / "t")
+    for _ in range(2):
+        rows = make_trades({"symbol": "007"}, {"symbol": "007"}, {"symbol": "B", "ts": "2025-05-03T10:00:00"})
+        rows.coalesce(1).write.mode("append").partitionBy(*KEYS).parquet(root)
+    before = {r.key: r.value for r in spark.sql("SET").collect()}
+    found = files.table_inventory(spark, root).collect()
+    assert {(r.symbol, str(r.event_date), r.n_rows, r.n_files) for r in found} == {
+        ("007", "2025-05-02", 4, 2), ("B", "2025-05-03", 2, 2)
+    }
+    assert {r.key: r.value for r in spark.sql("SET").collect()} == before
+    with session_conf(spark, files._FOOTERS):
+        plan = files.footer_counts(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [symbol, event_date]" in plan
+    symbols = spark.createDataFrame([("007",), ("B",), ("C",)], "symbol string")
+    rows = table_completeness(spark, root, symbols, "2025-05-03").collect()
+    assert {(r.symbol, r.n_rows, r.n_files) for r in rows} == {("007", 0, 0), ("B", 2, 2), ("C", 0, 0)}
+
+
+def test_an_absent_part_of_an_array_layout_is_empty(spark, tmp_path):
+    part = tmp_path / "symbol=A" / "event_date=2025-05-02"
+    part.mkdir(parents=True)
+    (part / "x.json").write_text('[{"symbol": "A", "id": 1}]')
+    read = lambda *key: files.read_json_arrays(spark, str(tmp_path), TRADE_MESSAGE, *key)
+    assert read("A", "2025-05-02").count() == 1 and read(None, "2025-05-02").count() == 1
+    absent = read("B", "2025-05-02")
+    assert absent.count() == 0 and not absent.inputFiles()

@@ -11,6 +11,7 @@ from tickforge.streaming import bars, chunks, totals
 from tickforge.streaming.landing import (
     landed_text,
     landing_query,
+    landing_steps,
     read_landed,
     read_misfits,
     read_rejected,
@@ -187,3 +188,47 @@ def test_late_trades_change_no_bar_and_are_counted(spark, make_trades, tmp_path)
     found = bars.read_bars(spark, str(tmp_path / "out")).orderBy("window.start").collect()
     assert [(r.window.start.minute, r.trade_count, r.high_price) for r in found][:2] == [(30, 2, 7.0), (31, 1, 10.0)]
     assert [r.window.start.minute for r in found] == [30, 31, 40]
+
+
+def test_long_landing_has_bounded_files_and_log(spark, tmp_path):
+    """Thirty triggers over four folders, gathered by threes, with a restart after each ten."""
+    root, sent = tmp_path / "raw", []
+    for part in range(30):
+        rows = [(f"S{n % 3}", "2025-05-02", 10 * part + n) for n in range(6)] + [("", "2025-05-02", -part)]
+        sent += [r[2] for r in rows]
+        send(spark, tmp_path, rows)
+        if part % 10 == 9:
+            stream = folder_stream(spark, str(tmp_path / "in"), 1)
+            query = landing_steps(stream, str(root), str(tmp_path / "cp"), gather_after=3)
+            run(query)
+            assert sorted(_ids(spark, root)) == sorted(sent)
+    steps = Steps(spark, str(root), "json")
+    assert steps.last[1] == 29 and sum(steps.visible.values()) == 30 and len(steps.visible) <= 6
+    there = [p for p in root.glob("step=*/*/*/*/*.json")]
+    assert len({p.relative_to(root).parts[0] for p in there}) <= 12 and len(there) <= 12 * 4
+    assert len(list((root / "_markers").glob("[0-9]*"))) == 1
+    one = read_landed(spark, str(root), "trades", "S1", "2025-05-02")
+    assert one.count() == 60 and "PartitionFilters: [isnotnull(feed" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def _ids(spark, root):
+    texts = landed_text(spark, str(root)).select("value").collect()
+    return [json.loads(r.value)["id"] for r in texts]
+
+
+def test_a_gathering_that_died_is_not_seen(spark, tmp_path):
+    steps = Steps(spark, str(tmp_path))
+    rows = spark.range(3).selectExpr("id", "id % 2 as part")
+    for step in range(2):
+        rows.write.partitionBy("part").parquet(steps.path(step))
+        steps.commit(step, step)
+    rows.write.partitionBy("part").parquet(steps.path(2))
+    assert steps.read(rows.schema).count() == 6
+    steps.gather(rows.schema, ["part"], 2)
+    assert steps.visible == {2: 2} and steps.read(rows.schema).count() == 6
+    assert (tmp_path / "step=0").exists()  # until the next gathering
+    for step in (3, 4):
+        rows.write.partitionBy("part").parquet(steps.path(step))
+        steps.commit(step, step)
+    steps.gather(rows.schema, ["part"], 2)
+    assert steps.visible == {2: 2, 5: 2} and not (tmp_path / "step=0").exists()

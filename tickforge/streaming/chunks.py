@@ -80,9 +80,8 @@ def _advance(steps, new, batch_id, order_by, size, wait, keys, target_rows) -> N
     now = F.unix_micros(F.current_timestamp())
     step = steps.last[0] + 1
     arriving = new.withColumn(_ARRIVED, F.lit(step).cast("long")).withColumn(_SINCE, now)
-    waiting = steps.read(_table_schema(new.schema, keys)).where(
-        (F.col("step") == step - 1) & ~F.col("full")
-    )
+    before = [step - 1] if step else []
+    waiting = steps.read(_table_schema(new.schema, keys), before).where("not full")
     held = waiting.select(F.explode("messages").alias("m")).select("m.*")
     rows = held.unionByName(arriving).persist()
     try:
@@ -121,6 +120,7 @@ def read_chunks(spark: SparkSession, root: str, messages: StructType, keys=KEYS)
 def waiting_messages(spark: SparkSession, root: str, messages: StructType, keys=KEYS) -> DataFrame:
     """Messages that wait for more of their key, in the keys' and their own columns."""
     steps = Steps(spark, root)
-    table = steps.read(_table_schema(messages, keys)).where(F.col("step") == steps.last[0])
+    newest = [step for step in (steps.last[0],) if step >= 0]
+    table = steps.read(_table_schema(messages, keys), newest)
     items = table.where("not full").select(F.explode("messages").alias("m"))
     return items.select(*[F.col(f"m.{c}").alias(c) for c in messages.names])

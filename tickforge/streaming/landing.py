@@ -22,6 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tickforge.functions.codec import decode, json_text
 from tickforge.operators.messages import classify, once_per_position, read_envelopes
 from tickforge.schemas import NEWS_MESSAGE, POSITION, RECO_MESSAGE, TRADE_MESSAGE
+from tickforge.streaming.steps import Steps
 
 REJECTED = "rejected"
 FOLDERS = ["feed", "symbol", "event_date"]
@@ -108,7 +109,13 @@ def landed_text(spark: SparkSession, root: str | list[str]) -> DataFrame:
     Only files of committed triggers are seen. ``root`` may be several folders.
     """
     roots = [root] if isinstance(root, str) else root
-    return reduce(DataFrame.union, [spark.read.schema(_LANDED).json(one) for one in roots])
+    return reduce(DataFrame.union, [_landed(spark, one) for one in roots])
+
+
+def _landed(spark: SparkSession, root: str) -> DataFrame:
+    if _exists(spark, f"{root}/_markers"):
+        return Steps(spark, root, "json").read(_LANDED).select(*_LANDED.names)
+    return spark.read.schema(_LANDED).json(root).select(*_LANDED.names)
 
 
 def _landed_part(spark, root, feed, symbol, event_date, until) -> DataFrame:
@@ -158,6 +165,29 @@ def read_rejected(spark: SparkSession, root: str) -> DataFrame:
     return landed_text(spark, root).where(F.col("feed") == REJECTED).select("value", "reason")
 
 
+def landing_steps(
+    records: DataFrame, root: str, checkpoint: str, feed: str | None = None, gather_after: int = 100
+) -> DataStreamWriter:
+    """``landing_query`` for streams that run for months: the same rows, files gathered.
+
+    A trigger is one step of the table below ``root``. Every ``gather_after`` of them are
+    written again as one, with each folder's rows together, and so are as many gathered
+    ones: files and log grow with the data, not with the number of triggers. Readers are
+    those of ``landing_query``, and see a step whole or not at all.
+    """
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        steps = Steps(batch.sparkSession, root, "json")
+        step, done = steps.last
+        if done < batch_id:
+            rows = routed(batch, feed).hint("rebalance", *FOLDERS)
+            rows.write.mode("overwrite").partitionBy(*FOLDERS).json(steps.path(step + 1))
+            steps.commit(step + 1, batch_id)
+        steps.gather(_LANDED, FOLDERS, gather_after)
+
+    return records.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+
+
 def redrive_query(
     spark: SparkSession,
     rejects_root: str,
