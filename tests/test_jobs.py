@@ -131,6 +131,59 @@ def test_documents_and_landing_jobs(spark, lake):
     assert spark.read.parquet(f"{root}/features2").count() == 4
 
 
+def test_feature_job_keeps_labels_and_counts_what_it_wrote(spark, lake):
+    root, _, run = lake
+    (root / "more").mkdir()
+    lines = [json.dumps(trade("A", n) | {"exchange": "VQ"[n > 0]}) for n in range(4)]
+    (root / "more" / "1").write_text("\n".join([*lines, json.dumps(trade("B", 1) | {"timestamp": "noon"})]))
+    run(
+        *("land", "--input_path", f"{root}/more", "--output_path", f"{root}/more-landed", "--once"),
+        *("--checkpoint", f"{root}/more-state", "--feed", "trades", "--gather_after", "2"),
+    )
+    run(
+        *("features", "--input_path", f"{root}/more-landed", "--output_path", f"{root}/features3"),
+        *("--labels_path", f"{root}/labels", "--completeness_path", f"{root}/complete"),
+        *("--rejects_path", f"{root}/rejects"),
+    )
+    rows = spark.read.parquet(f"{root}/features3").where("symbol = 'A'").collect()
+    assert {r.exchange_index for r in rows} == {0.0, 1.0} and len(rows) == 4
+    counts = {(r.column, r.label): r.n for r in spark.read.parquet(f"{root}/labels").collect()}
+    assert counts[("exchange", "Q")] == 4 and counts[("tape", "C")] == 5
+    complete = {r.symbol: (r.n_rows, r.n_files) for r in spark.read.json(f"{root}/complete").collect()}
+    assert set(complete) == set(SYMBOLS) and complete["MSFT"] == (0, 0)
+    assert [r.reason for r in spark.read.json(f"{root}/rejects").collect()] == ["bad time"]
+
+
+def test_streaming_jobs(spark, lake):
+    root, _, run = lake
+    (root / "day").mkdir()
+    lines = [json.dumps(trade("A", n)) for n in range(7)] + [json.dumps(trade("A", 8) | {"event_date": "8/5"})]
+    (root / "day" / "1").write_text("\n".join([*lines, json.dumps(trade("A", 9, "2025-05-03"))]))
+
+    def stream(job, *more):
+        run(job, "--input_path", f"{root}/day", "--output_path", f"{root}/{job}", "--checkpoint", f"{root}/{job}-state", "--once", *more)
+
+    stream("chunk", "--size", "3", "--flush")
+    chunks = spark.read.parquet(f"{root}/chunk").where("full = 'true'").groupBy("symbol", "event_date").sum("n_messages").collect()
+    assert {(r.event_date, r[2]) for r in chunks} == {("2025-05-02", 7), ("8/5", 1), ("2025-05-03", 1)}
+    stream("total", "--feed", "trades")
+    totals = {r.status: r.n_messages for r in spark.read.parquet(f"{root}/total").collect()}
+    assert totals == {"accepted": 8, "bad date": 1}
+    stream("stream-bars", "--window_size", "1 hour", "--delay", "1 hour")
+    bars = spark.read.parquet(f"{root}/stream-bars").collect()
+    assert [b.trade_count for b in bars if b.event_date is not None] == [7]
+    stream("land", "--feed", "trades")
+    run(
+        *("redrive", "--input_path", f"{root}/land", "--output_path", f"{root}/mended", "--once"),
+        *("--checkpoint", f"{root}/redrive-state", "--feed", "trades"),
+        *("--repair", "replace(value, '8/5', '2025-05-08')"),
+    )
+    run("publish", "--input_path", f"{root}/mended", "--output_path", f"{root}/records")
+    record = spark.read.json(f"{root}/records").first()
+    assert record.key == "A" and json.loads(record.value)["event_date"] == "2025-05-02"
+    run("watch", "--input_path", f"{root}/day", "--once")
+
+
 def test_arguments():
     args = parse(
         "features --input_path a --output_path b --require_symbols --event_date 2025-05-02".split()
@@ -140,6 +193,9 @@ def test_arguments():
         "latest-recos --input_path a --output_path b",
         "land --output_path b --checkpoint c",
         "features --input_path a --output_path b --require_symbols A",
+        "features --input_path a --output_path b --labels_path c --symbol A",
+        "publish --input_path a",
+        "redrive --output_path b --checkpoint c --repair value",
     ):
         with pytest.raises(SystemExit):
             parse(wrong.split())

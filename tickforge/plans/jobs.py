@@ -17,6 +17,7 @@ from tickforge.operators.documents import typed_documents
 from tickforge.operators.enrich import enrich_asof
 from tickforge.operators.filters import has_keys, partition_filter
 from tickforge.operators.labels import save_label_counts, saved_labels
+from tickforge.operators.messages import as_records, trade_messages
 from tickforge.operators.quality import preview
 from tickforge.operators.recos import flatten_recos, latest_as_of, latest_if_current
 from tickforge.plans.completeness import require_complete, table_completeness
@@ -33,7 +34,7 @@ from tickforge.schemas import (
     TRADE_MESSAGE,
 )
 from tickforge.session import build_session, require_utc, session_conf, staged
-from tickforge.sinks.files import export_json_lines, show_rows, write_table
+from tickforge.sinks.files import export_json_lines, show_rows, write_table, write_topic
 from tickforge.sources.files import read_json_arrays, read_table
 from tickforge.sources.streams import folder_stream, record_stream, topic_stream
 from tickforge.streaming.bars import bars_query
@@ -41,7 +42,9 @@ from tickforge.streaming.chunks import chunk_query, flush_chunks
 from tickforge.streaming.landing import (
     LANDING_CONF,
     MESSAGE_SCHEMAS,
+    console_query,
     landing_query,
+    landing_steps,
     read_landed,
     read_misfits,
     redrive_query,
@@ -159,20 +162,38 @@ def _run(spark, args, writer):
 
 def land(spark: SparkSession, args) -> None:
     """A topic, or a folder of JSON lines, into the raw zone; runs until stopped."""
-    stream = _records(spark, args)
-    _run(
-        spark,
-        args,
-        landing_query(stream, args.output_path, args.checkpoint, args.feed, args.records_per_file),
-    )
+    where = _records(spark, args), args.output_path, args.checkpoint, args.feed
+    if args.gather_after:
+        _run(spark, args, landing_steps(*where, args.gather_after))
+    else:
+        _run(spark, args, landing_query(*where, args.records_per_file))
+
+
+def watch(spark: SparkSession, args) -> None:
+    """Print the first messages of every trigger."""
+    _run(spark, args, console_query(_records(spark, args)))
+
+
+def publish(spark: SparkSession, args) -> None:
+    """Landed trades as keyed records, to a topic or into a folder of saved records."""
+    raw = read_landed(spark, args.input_path, "trades", args.symbol, args.event_date)
+    records = as_records(trade_messages(typed_trades(raw)), keyed=True)
+    if args.brokers:
+        write_topic(records, args.brokers, args.topic)
+    else:
+        records.write.mode("append").json(args.output_path)
 
 
 def chunk(spark: SparkSession, args) -> None:
-    """A topic or folder into arrays of ``--size`` messages of one symbol and day."""
+    """A topic or folder into arrays of ``--size`` messages of one symbol and day.
+
+    Messages of one trigger are in the order of their offsets, those of a folder in a fixed
+    order by content.
+    """
     schema = MESSAGE_SCHEMAS[args.feed]
     records = _records(spark, args)
     order = "offset" if "offset" in records.columns else "_line"
-    arriving = records if order == "offset" else records.withColumn("_line", F.lit(0).cast("long"))
+    arriving = records if order == "offset" else records.withColumn("_line", F.xxhash64("value"))
     kept = StructType([*schema.fields, StructField(order, LongType())])
     messages = arriving.select(order, decode("value", schema)).select(*kept.names)
     messages = messages.where(has_keys())
@@ -207,10 +228,10 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="tickforge")
     commands = parser.add_subparsers(dest="job", required=True)
 
-    def command(run, *paths):
+    def command(run, *paths, output="output_path"):
         sub = commands.add_parser(run.__name__.replace("_", "-"), help=run.__doc__.split("\n")[0])
         sub.set_defaults(run=run)
-        for path in (*paths, "output_path"):
+        for path in filter(None, (*paths, output)):
             sub.add_argument(f"--{path}", required=True)
         sub.add_argument("--symbol")
         sub.add_argument("--event_date", help="YYYY-MM-DD")
@@ -238,9 +259,9 @@ def _parser() -> argparse.ArgumentParser:
     command(documents, "input_path")
 
     def streaming(run, feed_help, **feed):
-        sub = command(run)
+        sub = command(run, output=None if run is watch else "output_path")
         sub.add_argument("--input_path")
-        sub.add_argument("--checkpoint", required=True)
+        sub.add_argument("--checkpoint", required=run is not watch)
         sub.add_argument("--feed", choices=["trades", "recos", "news"], help=feed_help, **feed)
         sub.add_argument("--once", action="store_true", help="process what is there, then stop")
         if run is not redrive:
@@ -252,7 +273,13 @@ def _parser() -> argparse.ArgumentParser:
         return sub
 
     mixed = "none for a mixed topic"
-    streaming(land, mixed).add_argument("--records_per_file", type=int)
+    sub = streaming(land, mixed)
+    sub.add_argument("--records_per_file", type=int)
+    sub.add_argument("--gather_after", type=int, help="write so many triggers again as one")
+    streaming(watch, "not used")
+    sub = command(publish, "input_path", output=None)
+    for name in ("brokers", "topic", "output_path"):
+        sub.add_argument(f"--{name}")
     sub = streaming(chunk, "what the messages are", default="trades")
     sub.add_argument("--size", type=int, default=TRADES_PER_CHUNK)
     sub.add_argument("--wait", default="10 minutes", help="a short array leaves after that long")
@@ -274,6 +301,10 @@ def parse(argv=None) -> argparse.Namespace:
         parser.error("--require_symbols needs --event_date")
     if args.job == "latest-recos" and not args.event_date:
         parser.error("latest-recos needs --event_date")
+    if getattr(args, "labels_path", None) and (args.symbol or args.code_scope == "day"):
+        parser.error("--labels_path counts whole days of all symbols")
+    if args.job == "publish" and not (args.output_path or (args.brokers and args.topic)):
+        parser.error("publish needs --output_path, or --brokers and --topic")
     if hasattr(args, "once"):
         brokers = getattr(args, "brokers", None) and args.topic
         if not (args.input_path or brokers):
