@@ -605,3 +605,43 @@ def test_no_operator_leaves_a_setting_behind(spark, tmp_path):
     warc.read_archives(warc.write_archives(pages, str(tmp_path)), str(tmp_path)).collect()
     mixing.mix(table).collect()
     assert settings() == before
+
+
+def test_stretches_are_free_where_no_span_is():
+    random.seed(15)
+    for _ in range(300):
+        spans = [(s, s + random.randint(1, 9)) for s in random.choices(range(60), k=random.randint(0, 6))]
+        taken = pii._Taken(spans)
+        for _ in range(8):
+            start = random.randrange(60)
+            end = start + random.randint(1, 9)
+            free = all(e <= start or end <= s for s, e in spans)
+            assert taken.free(start, end) == free
+            if free:
+                taken.add(start, end)
+                spans.append((start, end))
+
+
+def brute_added(detector, text):
+    """Of the proposals, best first, those that pass and touch nothing taken before."""
+    base = pii.base_spans(text)
+    taken, added = [x[1:] for x in base], []
+    found = list(dict.fromkeys(pii.proposals(text)))
+    scored = [(-float(detector.trees.probability(np.array([pii.features(text, *x)]))[0]), x) for x in found]
+    for score, (kind, start, end) in sorted(scored, key=lambda x: (x[0], x[1][1])):
+        if -score >= detector.thresholds[kind] and all(e <= start or end <= s for s, e in taken):
+            added.append((kind, start, end))
+            taken.append((start, end))
+    return added
+
+
+def test_added_spans_are_those_of_a_plain_loop():
+    rng = np.random.default_rng(16)
+    random.seed(16)
+    rows = rng.normal(size=(500, pii.WIDTH)) * 10
+    trees = gbt.fit(rows, rows[:, 5] + rows[:, 7] > 0)
+    detector = pii.Detector(trees, dict.fromkeys(pii.KINDS, 0.4))
+    for _ in range(60):
+        parts = ["a.b at c dot de", "10 . 0 . 0 . 1", "4929 3483.8514-6306", "(555) 123 4567", "x", "call", "1.2.3.4", "y@z.com"]
+        text = " ".join(random.choices(parts, k=random.randint(0, 30)))
+        assert sorted(detector.spans(text)[1]) == sorted(brute_added(detector, text))
