@@ -24,9 +24,10 @@ def test_row_numbers_of_hot_keys(skewed, target):
 
 
 def test_numbering_joins_by_hash(skewed):
-    plan = number_rows(skewed, KEYS, ["id"], "n")._jdf.queryExecution().executedPlan().toString()
-    # Rows and their counts each meet hot keys and quantiles, which are made from hot keys.
-    assert plan.count("BroadcastHashJoin") == 7
+    numbered = number_rows(skewed, KEYS, ["id"], "n", 60)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    # Rows and their counts each meet hot keys and quantiles, rows the offsets, too.
+    assert plan.count("BroadcastHashJoin") == 5
     assert "NestedLoop" not in plan and "SortMergeJoin" not in plan
 
 

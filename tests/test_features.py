@@ -145,9 +145,12 @@ def test_trades_are_shuffled_once_and_never_by_label(spark, make_trades, tmp_pat
     coded = labels.apply_labels(trades, index, {"exchange": "code"})
     assert not _shuffles(coded, "exchange") and not _shuffles(coded, "label")
     table = trade_features(trades)
+    plan = table._jdf.queryExecution().executedPlan().toString()
     assert not _shuffles(table, "exchange") and not _shuffles(table, "tape")
-    wide = [line for line in _shuffles(table, "_slice") if "_borrowed" not in line]
-    assert len(wide) == 2  # trades, and the few rows before each slice of a hot key
+    # Codes are ranked from their counts; trades are exchanged by symbol and day.
+    assert len(_shuffles(table, "symbol")) == 1 and plan.count("FileScan") == 3
+    cut = trade_features(trades, target_rows=10)
+    assert not _shuffles(cut, "exchange") and len(_shuffles(cut, "_slice")) == 2
 
 
 def test_saved_counts_are_refitted_by_day(spark, make_trades, tmp_path):
@@ -246,10 +249,18 @@ def test_increments_equal_the_whole_day(spark, make_trades, target):
     assert rolling.overtaken_keys(early, last).count() == 1
 
 
+def test_without_hot_keys_there_is_one_exchange(make_trades):
+    plan = rolling.rolling_features(make_trades({}))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    numbered = slices.number_rows(make_trades({}), KEYS, ORDER_COLUMNS, "n")
+    assert numbered._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_rolling_columns_share_one_window(make_trades):
-    plan = rolling.rolling_features(make_trades({})).select(F.col("rolling_avg_price"))
+    trades = make_trades(*[{"id": n} for n in range(30)])
+    plan = rolling.rolling_features(trades, 10).select(F.col("rolling_avg_price"))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    # Keys of the hot-key counts are exchanged too; trades themselves only once.
+    # Trades themselves are exchanged only once.
     assert text.count("_borrowed") > 0
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text
     main = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]

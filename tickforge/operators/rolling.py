@@ -27,30 +27,34 @@ def rolling_features(
     columns = [*KEYS, *ORDER_COLUMNS, "price", "size"]
     source = trades if source is None else source
     points = slices.split_points(source, KEYS, ORDER_COLUMNS, target_rows)
+    if points is None:
+        return trades.withColumns(_statistics(KEYS))
     rows = slices.with_slices(trades, points, KEYS, ORDER_COLUMNS)
     ends = slices.with_slices(source.select(*columns), points, KEYS, ORDER_COLUMNS, "inner")
     earlier = slices.previous_rows(ends, KEYS, ORDER_COLUMNS, ["price", "size"], PRECEDING)
 
-    frame = (
-        Window.partitionBy(*KEYS, slices.SLICE)
-        .orderBy(*ORDER_COLUMNS)
-        .rowsBetween(-PRECEDING, Window.currentRow)
-    )
     return (
         rows.withColumn("_borrowed", F.lit(False))
         .unionByName(earlier.withColumn("_borrowed", F.lit(True)), allowMissingColumns=True)
-        .withColumns(
-            {
-                "rolling_avg_price": F.avg("price").over(frame),
-                "rolling_std_price": F.stddev_samp("price").over(frame),
-                "cumulative_volume": F.sum("size").over(frame),
-            }
-        )
+        .withColumns(_statistics([*KEYS, slices.SLICE]))
         .where(~F.col("_borrowed"))
         .drop("_borrowed", slices.SLICE)
     )
 
 
+def _statistics(keys) -> dict:
+    frame = (
+        Window.partitionBy(*keys)
+        .orderBy(*ORDER_COLUMNS)
+        .rowsBetween(-PRECEDING, Window.currentRow)
+    )
+    return {
+        "rolling_avg_price": F.avg("price").over(frame),
+        "rolling_std_price": F.stddev_samp("price").over(frame),
+        "cumulative_volume": F.sum("size").over(frame),
+    }
+
+
 def last_trades(trades: DataFrame) -> DataFrame:
     """The last ten trades of each symbol and day: all that later trades look back on.
 

@@ -12,9 +12,11 @@ what the whole-key window would give:
   look back a fixed number of rows;
 * ``slice_offsets`` counts the rows before each slice, for running row numbers.
 
-The three tables of split points are broadcast. Each has at most rows / target_rows
-rows, since each of its groups holds more than target_rows rows, and a row holds no
-more than ``QUANTILES`` numbers.
+The keys are counted first, in a pass over two or three columns, and the count decides the
+plan: without a hot key there is nothing to cut, and what follows is the plain window. The
+three tables of split points are written, so each is computed once, and broadcast. Each has at
+most rows / target_rows rows, since each of its groups holds more than target_rows rows, and
+a row holds no more than ``QUANTILES`` numbers.
 """
 
 from dataclasses import dataclass
@@ -25,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, TimestampType
 
+from tickforge.session import stage
+
 #: Rows a single window task should hold, about 200-400 MB for trade rows.
 TARGET_ROWS = 2_000_000
 
@@ -88,22 +92,25 @@ def hot_keys(df: DataFrame, keys, order: str, target_rows: int = TARGET_ROWS) ->
 
 def split_points(
     df: DataFrame, keys, order_by, target_rows: int = TARGET_ROWS
-) -> SplitPoints:
-    """Split points that follow ``order_by``, so that a burst is split as well.
+) -> SplitPoints | None:
+    """Split points that follow ``order_by``, so that a burst is split as well; None if no key
+    is hot.
 
-    All are map-side combined aggregates; the second and third read hot keys only, and
-    have nothing to do where there are none. A single value of the first column is split
+    All are map-side combined aggregates, run at once; the second and third read hot keys
+    only. A single value of the first column is split
     if the second is a number or a timestamp. A slice holds about ``target_rows`` rows, or
     a sixty-fourth of a stretch or value that holds more than 64 times as many.
     """
     keys, (first, *more) = list(keys), list(order_by)[:2]
-    hot = hot_keys(df, keys, first, target_rows)
+    hot = stage(hot_keys(df, keys, first, target_rows), "hot-keys")
+    if hot.isEmpty():
+        return None
     stretches = _with_stretch(df.select(*keys, first, *more), hot, keys, first, "inner")
-    cuts = _quantiles(stretches, [*keys, "_stretch"], first, target_rows)
+    cuts = stage(_quantiles(stretches, [*keys, "_stretch"], first, target_rows), "cuts")
     ties = None
     if more and isinstance(df.schema[more[0]].dataType, (NumericType, TimestampType)):
         single = _with_part(stretches, cuts, keys, first, "inner").where("_part % 2 = 1")
-        ties = _quantiles(single, [*keys, "_stretch", "_part"], more[0], target_rows)
+        ties = stage(_quantiles(single, [*keys, "_stretch", "_part"], more[0], target_rows), "ties")
     return SplitPoints(hot, cuts, ties)
 
 
@@ -208,6 +215,9 @@ def number_rows(
     """
     keys, order_by = list(keys), list(order_by)
     points = split_points(df, keys, order_by, target_rows)
+    if points is None:
+        whole = Window.partitionBy(*keys).orderBy(*order_by)
+        return df.withColumn(name, F.row_number().over(whole).cast("long"))
     sliced = with_slices(df, points, keys, order_by)
     counted = with_slices(df.select(*keys, *order_by[:2]), points, keys, order_by, "inner")
     offsets = slice_offsets(counted, keys)
