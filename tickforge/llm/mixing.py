@@ -128,7 +128,8 @@ def targets(sources: DataFrame, scratch, weights=WEIGHTS, percent=150, most=2) -
         F.coalesce(numbers[0], last).alias("head"), F.coalesce(numbers[1], last).alias("next"),
     )
     numbered = number_rows(scratch.keep(ordered), ["all"], ["head", "next", "source"], "place")
-    weight = F.element_at(F.array(*map(F.lit, weights)), F.expr(f"cast((place - 1) % {len(weights)} as int) + 1"))
+    turn = F.expr(f"cast((place - 1) % {len(weights)} as int) + 1")
+    weight = F.element_at(F.array(*map(F.lit, weights)), turn)
     placed = scratch.keep(
         numbered.select("source", "source_size", F.col("place") - 1, weight.cast("long"))
         .toDF("source", "source_size", "place", "weight")

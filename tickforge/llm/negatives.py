@@ -54,7 +54,10 @@ def _positives(k: int, names):
                                 continue
                             for start in range(0, len(same), WALKERS):
                                 part = same[start : start + WALKERS]
-                                search(lists, ids[rows[block]], wanted[part], own[slots[part]], slots[part], best)
+                                search(
+                                    lists, ids[rows[block]], wanted[part],
+                                    own[slots[part]], slots[part], best,
+                                )
         slot, scores, found = best.rows()
         columns = [pa.array(own[slot], pa.int64()), pa.array(found, pa.int64())]
         exact = pa.array([str(int(s)) for s in scores], pa.string())
@@ -151,7 +154,8 @@ def hard_negatives(
         asked = scratch.keep(asked.select("id", "row.*"))
         rows, most = labelled(df, id_column, vector, label), df.count()
 
-        names = {"id": "bigint", "positive_id": "bigint", "score": "bigint", "beyond": "binary", "exact": "string"}
+        score = {"score": "bigint", "beyond": "binary"}
+        names = {"id": "bigint", "positive_id": "bigint", **score, "exact": "string"}
         left, right = deal(asked, rows, most)
         found = left.cogroup(right).applyInArrow(_positives(positives, list(names)), _schema(names))
         best = Window.partitionBy("id").orderBy(F.desc("score"), F.desc("beyond"), "positive_id")
@@ -162,12 +166,13 @@ def hard_negatives(
         listed = F.sort_array(F.collect_list(F.struct("place", "exact")))
         windows = chosen.groupBy("id").agg(listed.alias("listed"))
         windows = windows.select("id", F.col("listed.exact").alias("scores"))
-        names = {"id": "bigint", "place": "bigint", "negative_id": "bigint", "score": "bigint", "beyond": "binary"}
+        names = {"id": "bigint", "place": "bigint", "negative_id": "bigint", **score}
         left, right = deal(scratch.keep(asked.join(windows, "id")), rows, most)
         found = left.cogroup(right).applyInArrow(
             _negatives(k, positives, share, list(names)), _schema(names)
         )
-        best = Window.partitionBy("id", "place").orderBy(F.desc("score"), F.desc("beyond"), "negative_id")
+        order = [F.desc("score"), F.desc("beyond"), "negative_id"]
+        best = Window.partitionBy("id", "place").orderBy(*order)
         ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         of = chosen.select("id", "place", "positive_id", F.col("score").alias("positive_score"))
         return scratch.keep(

@@ -56,7 +56,8 @@ def _best_of_part(k: int, names):
                             continue
                         for start in range(0, len(slots), WALKERS):
                             part = slots[start : start + WALKERS]
-                            search(lists, block_ids, wanted[start : start + WALKERS], own[part], part, best)
+                            walkers = wanted[start : start + WALKERS]
+                            search(lists, block_ids, walkers, own[part], part, best)
         slot, scores, found = best.rows()
         columns = [pa.array(own[slot], pa.int64()), pa.array(found, pa.int64())]
         return pa.table([*columns, *score_columns(scores)], names=names)

@@ -52,7 +52,8 @@ def head_length(conv_id: str) -> F.Column:
 
 def numbered_turns(df: DataFrame, scratch) -> DataFrame:
     """(conv_id, place from 1, turn digest, bytes of the text), texts left behind."""
-    rows = pick(df, conv_id="conv_id", turn="turn", role="role", text="text").where("conv_id is not null")
+    rows = pick(df, conv_id="conv_id", turn="turn", role="role", text="text")
+    rows = rows.where("conv_id is not null")
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     said = F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), role, text), 256)
     turns = rows.select(
@@ -71,10 +72,10 @@ def rebuilt(turns: DataFrame, scratch) -> tuple[DataFrame, DataFrame]:
     (all if fewer, none if absent), then of its own turns after as many.
     """
     counted = scratch.keep(turns.groupBy("conv_id").agg(F.max("place").alias("own")))
-    firsts = counted.where("conv_id % 5 = 0").select(F.col("conv_id").alias("base"), F.col("own").alias("there"))
-    convs = counted.select(
-        "conv_id", "own", head_length("conv_id").alias("head"), F.expr("conv_id - conv_id % 5 as base")
-    ).join(firsts, "base", "left")
+    firsts = counted.where("conv_id % 5 = 0").selectExpr("conv_id as base", "own as there")
+    base = F.expr("conv_id - conv_id % 5 as base")
+    convs = counted.select("conv_id", "own", head_length("conv_id").alias("head"), base)
+    convs = convs.join(firsts, "base", "left")
     convs = scratch.keep(
         convs.withColumn("lent", F.least("head", F.coalesce("there", F.lit(0)))).withColumn(
             "length", F.col("lent") + F.greatest(F.col("own") - F.col("head"), F.lit(0))
@@ -94,7 +95,8 @@ def paths(rows: DataFrame, scratch) -> DataFrame:
     parts = _quarters(F.concat_ws(":", "place", "said"))
     rows = scratch.keep(
         rows.select(
-            "conv_id", F.col("place").alias("depth"), "bytes", F.expr(f"(place - 1) div {BLOCK} as block"),
+            "conv_id", F.col("place").alias("depth"), "bytes",
+            F.expr(f"(place - 1) div {BLOCK} as block"),
             *[part.alias(name) for part, name in zip(parts, KEY)],
         )
     )
@@ -105,7 +107,8 @@ def paths(rows: DataFrame, scratch) -> DataFrame:
         .select("conv_id", "block", *[F.sum(k).over(before).alias(f"c{k}") for k in KEY])
         .where("block > 0")
     )
-    upto = Window.partitionBy("conv_id", "block").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
+    in_block = Window.partitionBy("conv_id", "block").orderBy("depth")
+    upto = in_block.rowsBetween(Window.unboundedPreceding, 0)
     inside = rows.select(
         "conv_id", "depth", "block", "bytes",
         *[F.col(k).alias(f"own_{k}") for k in KEY], *[F.sum(k).over(upto).alias(k) for k in KEY],
@@ -178,10 +181,11 @@ def subtree_totals(rows: DataFrame, scratch, piece=PIECE, shard_rows=SHARD_ROWS)
     rows = scratch.keep(rows.withColumn("piece", F.expr(f"(depth - 1) div {piece}")))
     count, deepest = rows.agg(F.count("*"), F.max("depth")).first()
     if (deepest or 0) > piece:
-        cuts = scratch.keep(
-            rows.where(f"depth % {piece} = 0").select("conv_id", (F.col("depth") / piece).cast("long").alias("piece"), *KEY, "owner")
-        )
-        hanging = rows.where("piece > 0 and owner").select("conv_id", "piece", "leaf", "carried", "saved")
+        number = F.expr(f"depth div {piece}").alias("piece")
+        cuts = rows.where(f"depth % {piece} = 0").select("conv_id", number, *KEY, "owner")
+        cuts = scratch.keep(cuts)
+        hanging = rows.where("piece > 0 and owner")
+        hanging = hanging.select("conv_id", "piece", "leaf", "carried", "saved")
         hanging = (
             hanging.join(cuts.drop("owner"), ["conv_id", "piece"])
             .groupBy("piece", *KEY)
@@ -193,7 +197,9 @@ def subtree_totals(rows: DataFrame, scratch, piece=PIECE, shard_rows=SHARD_ROWS)
             F.expr("if(owner, coalesce(saved, 0), 0)").alias("saved"),
         )
         below = scratch.keep(subtree_totals(smaller, scratch, piece, shard_rows))
-        below = below.select((F.col("depth") * piece).alias("depth"), *KEY, "n_leaves", F.col("saved").alias("more"))
+        below = below.select(
+            (F.col("depth") * piece).alias("depth"), *KEY, "n_leaves", F.col("saved").alias("more")
+        )
         rows = rows.join(below, NODE, "left")
         for name, more in (("carried", "n_leaves"), ("saved", "more")):
             rows = rows.withColumn(name, F.expr(f"{name} + if(owner, coalesce({more}, 0), 0)"))
@@ -204,7 +210,8 @@ def subtree_totals(rows: DataFrame, scratch, piece=PIECE, shard_rows=SHARD_ROWS)
     )
     fields = ", ".join(f"{name} long" for name in [*NODE, "n_leaves", "saved"])
     totals = dealt.groupBy("shard").applyInPandas(shard_totals, fields)
-    return totals.groupBy(*NODE).agg(F.sum("n_leaves").alias("n_leaves"), F.sum("saved").alias("saved"))
+    sums = [F.sum(name).alias(name) for name in ("n_leaves", "saved")]
+    return totals.groupBy(*NODE).agg(*sums)
 
 
 def _chunks(batches):
@@ -294,7 +301,8 @@ def prefix_trie(df: DataFrame, piece=PIECE, shard_rows=SHARD_ROWS) -> DataFrame:
             .groupBy(*NODE)
             .agg(F.count("*").alias("n_children"))
         )
-        leaves = scratch.keep(nodes.join(children, NODE, "left_anti").select("conv_id", F.col("depth").alias("end")))
+        leaves = nodes.join(children, NODE, "left_anti")
+        leaves = scratch.keep(leaves.select("conv_id", F.col("depth").alias("end")))
         laid = scratch.keep(
             along.join(leaves, "conv_id")
             .where("depth <= end")
@@ -309,9 +317,12 @@ def prefix_trie(df: DataFrame, piece=PIECE, shard_rows=SHARD_ROWS) -> DataFrame:
         )
         totals = scratch.keep(subtree_totals(laid, scratch, piece, shard_rows))
         zero = [F.lit(0).cast("long").alias(name) for name in NODE]
-        root = convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).where("n_convs > 0")
+        root = convs.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs"))
+        root = root.where("n_convs > 0")
+        # Without a turn the root is a leaf itself.
         root_totals = totals.where("depth = 1").agg(
-            F.coalesce(F.sum("n_leaves"), F.lit(1)).alias("n_leaves"), F.coalesce(F.sum("saved"), F.lit(0)).alias("saved")
+            F.coalesce(F.sum("n_leaves"), F.lit(1)).alias("n_leaves"),
+            F.coalesce(F.sum("saved"), F.lit(0)).alias("saved"),
         )
         last = convs.where("length > 0").select("conv_id", F.col("length").alias("depth"))
         ends = along.join(last, ["conv_id", "depth"]).select(*NODE, "conv_id")
@@ -330,9 +341,10 @@ def prefix_trie(df: DataFrame, piece=PIECE, shard_rows=SHARD_ROWS) -> DataFrame:
         parents = nodes.select(
             F.expr("depth + 1").alias("depth"), *[F.col(k).alias(p) for k, p in zip(KEY, PARENT)],
             F.col("conv_id").alias("above"),
-        ).unionByName(
-            root.select(F.lit(1).cast("long").alias("depth"), *[F.lit(0).cast("long").alias(p) for p in PARENT], F.col("conv_id").alias("above"))
         )
+        top = zip(["depth", *PARENT], [1, 0, 0, 0, 0])
+        top = [F.lit(value).cast("long").alias(name) for name, value in top]
+        parents = parents.unionByName(root.select(*top, F.col("conv_id").alias("above")))
         empty = hashlib.sha256().hexdigest()
         return scratch.keep(
             found.join(parents, ["depth", *PARENT], "left").select(
