@@ -41,7 +41,7 @@ LARGEST = 255
 #: Estimates below this go no further; more than five deviations below a true 0.8.
 LEAST_ESTIMATE = 0.7
 #: Members of a leader's buckets that one block of a task holds, on average.
-BLOCK_ROWS = 512
+BLOCK_ROWS = 256
 
 _RANDOM = np.random.default_rng(77)
 _XOR = _RANDOM.integers(0, 1 << 32, REGISTERS, np.uint32)
@@ -363,21 +363,20 @@ def _confirmed(words, percent):
     def run(batches: Iterator[pa.RecordBatch]):
         texts = {}
         for batch in batches:
-            rows = batch.select(["last", "node", "text", "a", "b"]).to_pylist()
-            for row in rows:
-                if not row["last"]:
-                    texts[row["node"]] = row["text"]
+            last, node, text, a, b = (batch.column(c) for c in ("last", "node", "text", "a", "b"))
+            # Pairs of a group are many: they stay arrays, one group at a time.
+            for row, done in enumerate(last.to_pylist()):
+                if not done:
+                    texts[node[row].as_py()] = text[row].as_py()
                     continue
                 sets = {node: shingle_set(text, words) for node, text in texts.items()}
                 texts = {}
-                u, v = [], []
-                for one, other in zip(row["a"], row["b"]):
-                    if linked(sets[one], sets[other], percent):
-                        u.append(one)
-                        v.append(other)
-                if u:
+                one, other = (c[row].values.to_numpy() for c in (a, b))
+                pairs = zip(one.tolist(), other.tolist())
+                keep = np.fromiter((linked(sets[x], sets[y], percent) for x, y in pairs), bool, len(one))
+                if keep.any():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]
+                        [pa.array(one[keep]), pa.array(other[keep])], names=["u", "v"]
                     )
 
     return run
