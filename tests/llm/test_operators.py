@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tickforge.llm import bpe, chat, decontam, fagin, gbt, langid, lmscore, mixing, neardup, pii, quality, topk, warc
+from tickforge.llm import bpe, chat, common, decontam, fagin, gbt, langid, lmscore, mixing, neardup, pii, quality, topk, warc
 from tickforge.llm.common import Scratch, rows_of, rows_without
 from tickforge.llm.graph import components
 from tickforge.llm.queries import TOKENIZER
@@ -645,3 +645,12 @@ def test_added_spans_are_those_of_a_plain_loop():
         parts = ["a.b at c dot de", "10 . 0 . 0 . 1", "4929 3483.8514-6306", "(555) 123 4567", "x", "call", "1.2.3.4", "y@z.com"]
         text = " ".join(random.choices(parts, k=random.randint(0, 30)))
         assert sorted(detector.spans(text)[1]) == sorted(brute_added(detector, text))
+
+
+def test_workers_forget_words_of_other_operators():
+    decontam._coded("some words to remember")
+    assert decontam._CODES
+    list(common.in_slices(decontam._templates)([]))
+    assert decontam._CODES
+    list(common.in_slices(langid._sparse)([]))
+    assert not decontam._CODES

@@ -27,13 +27,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import in_slices, pick
+from tickforge.llm.common import in_slices, pick, remembers
 
 #: Distinct words a worker remembers before it starts anew, and the longest it keeps.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 CACHE_CHARS = 48
 #: Entries of the transition table of one worker.
-TABLE_ARCS = 4_000_000
+TABLE_ARCS = 1_000_000
 
 # Fixed value: the byte-level pre-split pattern of this family of tokenizers.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -205,6 +205,7 @@ class _Words(dict):
 
 
 _BUILT: dict[str, Automaton] = {}
+remembers(__name__, _BUILT.clear)
 
 
 def _automaton(path, spec) -> Automaton:

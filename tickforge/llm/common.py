@@ -3,6 +3,7 @@
 import os
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +20,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What lets go of the words that a worker remembers for an operator, by module.
+_FORGET = {}
+
+
+def remembers(module: str, forget) -> None:
+    """Have ``forget`` called when a worker turns to another module's functions."""
+    _FORGET[module] = forget
+
+
+def let_go(module: str) -> None:
+    """Give back what this worker holds for modules other than ``module``."""
+    for other, forget in _FORGET.items():
+        if other != module:
+            forget()
+    pa.default_memory_pool().release_unused()
+
+
 def in_slices(run):
     """A function over Arrow batches, given pieces of ``BATCH_ROWS`` rows at most.
 
-    So no session setting is needed, and none is left behind.
+    So no session setting is needed, and none is left behind. Workers serve one operator
+    after another; what they remember for the one before goes first.
     """
+    module = run.__module__
 
     def sliced(batches):
+        let_go(module)
         return run(
             batch.slice(start, BATCH_ROWS)
             for batch in batches

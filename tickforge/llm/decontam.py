@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.common import Scratch, in_slices, pick
+from tickforge.llm.common import Scratch, in_slices, pick, remembers
 from tickforge.llm.shingles import mix
 
 WORDS = 8
@@ -32,7 +32,8 @@ LEAST_WINDOWS = 3
 #: Places in the filter, two for a hash: four megabytes, however large the benchmark is.
 FILTER = 1 << 22
 _PLACES = np.uint64(FILTER - 1)
-CACHE_WORDS = 1_000_000
+#: Distinct words a worker remembers before it starts anew.
+CACHE_WORDS = 200_000
 
 # Words read as numbers, and units of measure.
 _NUMBERS = "one two three four five six seven eight nine ten eleven twelve hundred thousand million"
@@ -87,6 +88,7 @@ def canonical(word: str) -> int:
 
 
 _CODES = _Codes()
+remembers(__name__, _CODES.clear)
 
 
 def _coded(text: str | None):
