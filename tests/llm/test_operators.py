@@ -654,3 +654,28 @@ def test_workers_forget_words_of_other_operators():
     assert decontam._CODES
     list(common.in_slices(langid._sparse)([]))
     assert not decontam._CODES
+
+
+def test_trees_learn_from_every_document_and_span(spark, monkeypatch):
+    """One text with more spans than any sample took, and cells beyond the driver's share."""
+    random.seed(18)
+    many = " ; ".join(f"call +1 ({random.randint(200, 999)}) 555-{n:04d}" for n in range(300))
+    junk = [f"number {random.randint(10**6, 10**9)} of 10.0.0.{n}" for n in range(120)]
+    table = docs(spark, many, *junk)
+    cells = {}
+    summed = pii._summed
+
+    def seen(found, limit):
+        cells[limit] = found.agg(F.sum("n")).first()[0]
+        return summed(found, limit)
+
+    monkeypatch.setattr(pii, "_summed", seen)
+    monkeypatch.setattr(pii, "TREES", 2)
+    here, there = pii.fit(table), pii.fit(table, 3)
+    # Each phone also holds a run of digits that is no card, and a looser phone.
+    spans = [x for t in (many, *junk) for x in [*pii.matches(t), *pii.proposals(t)]]
+    bases = sum(len(pii.base_spans(t)) for t in (many, *junk))
+    assert bases <= min(cells.values()) == max(cells.values()) <= len(spans) and bases == 420
+    assert len(here.trees.leaf) == 2 and here.thresholds == there.thresholds
+    for one, other in zip(vars(here.trees).values(), vars(there.trees).values()):
+        assert np.array_equal(one, other)

@@ -3,17 +3,22 @@
 The base patterns (email, ip, card, phone) are exact: leftmost, non-overlapping per kind,
 checked by value. High-recall generators propose further, overlapping spans: masked emails
 and addresses, numbers written in other groupings. Gradient-boosted trees score every span
-by its format and the words before it. They learn from the corpus itself, base spans against
-proposals and base matches that failed their check; on a part set aside, a threshold for
-each kind is set where nearly all base spans pass. Proposals at or above it that overlap no
-better span are added.
+by its format and the words before it. They learn from all documents of the corpus itself,
+base spans against proposals and base matches that failed their check; on a part set aside, a
+threshold for each kind is set where nearly all base spans pass. Proposals at or above it that
+overlap no better span are added.
+
+Spans of equal binned features and label are one counted cell. A few cells are summed on the
+driver, any number of them by Spark, level by level of each tree; both give the same trees.
 
 All patterns are anchored at a character that they need ('@', '+', a run of digits), so a
 text of any length takes linear time.
 """
 
 import re
+import zlib
 from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,13 +28,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.llm import gbt
-from tickforge.llm.common import in_slices, pick, spread
+from tickforge.llm.common import Scratch, in_slices, pick
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents the trees learn from, at most: those first in a fixed random order that have
-#: any candidate span; and spans of one document.
-SAMPLE_DOCUMENTS = 6_000
-SAMPLE_SPANS = 20
+TREES = 40
+#: Cells that the driver sums by itself, at most; more are summed by Spark.
+DRIVER_CELLS = 50_000
+#: Parts of all spans, of 25: a fifth sets thresholds, a fifth of the rest calibrates.
+THRESHOLD, CALIBRATE, LEARN = 0, 1, 2
+_PARTS = [THRESHOLD] * 5 + [CALIBRATE] * 4 + [LEARN] * 16
+#: Fixed point of margins and of scores, by which these are counted.
+_MARGIN, _SCORE = 1 << 10, 1 << 20
 #: Share of the base spans set aside that a kind's threshold lets pass, and its least value.
 PASS_SHARE, LEAST_THRESHOLD = 0.98, 0.9
 
@@ -208,72 +217,131 @@ def redact(text: str | None, spans) -> str | None:
     return "".join(out) + text[end:]
 
 
-def _examples(batches: Iterator[pa.RecordBatch]):
-    """(doc_id, kind, label, features) of the spans of each text."""
+def _cells(batches: Iterator[pa.RecordBatch]):
+    """(part, label, bins, n): the spans of all texts, counted."""
     for batch in batches:
-        rows = []
+        found = Counter()
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             text = text or ""
-            seen = [(x, float(valid(x[0], text[x[1] : x[2]]))) for x in matches(text)]
+            seen = [(x, int(valid(x[0], text[x[1] : x[2]]))) for x in matches(text)]
             base = {kind: _Taken(x[1:] for x, good in seen if good and x[0] == kind) for kind in KINDS}
             # A looser match of what a base span holds is personal data too.
             for kind, start, end in proposals(text):
-                seen.append(((kind, start, end), float(not base[kind].free(start, end))))
-            # Runs of one or two digits are numbers, not candidates.
-            seen = [(x, good) for x, good in seen if good or x[2] - x[1] > 6]
-            for x, good in seen[:SAMPLE_SPANS]:
-                packed = np.array(features(text, *x)).tobytes()
-                rows.append((doc, KINDS.index(x[0]), good, packed))
+                seen.append(((kind, start, end), int(not base[kind].free(start, end))))
+            for x, good in seen:
+                # Runs of one or two digits are numbers, not candidates.
+                if good or x[2] - x[1] > 6:
+                    part = _PARTS[zlib.crc32(f"{doc}:{x}".encode()) % len(_PARTS)]
+                    found[part, good, gbt.bins(features(text, *x)).tobytes()] += 1
+        rows = [(*cell, n) for cell, n in found.items()]
         columns = list(zip(*rows)) or [[], [], [], []]
-        kinds = (pa.int64(), pa.int32(), pa.float64(), pa.binary())
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
-            names=["doc_id", "kind", "label", "features"],
+            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "label", "bins", "n"]
         )
 
 
-def fit(docs: DataFrame, sample_documents=SAMPLE_DOCUMENTS) -> Detector:
-    """Trees and thresholds from at most ``sample_documents`` documents with a sign of PII."""
-    chosen = (
-        docs.where("doc_id is not null and (instr(text, '@') > 0 or text rlike '[0-9]{3}')")
-        .select("doc_id")
-        .distinct()
-        .orderBy(spread("doc_id", 7), "doc_id")
-        .limit(sample_documents)
-    )
-    texts = docs.join(F.broadcast(chosen), "doc_id", "left_semi")
-    # One text for each id: what the driver gets is bounded by the sample.
-    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
-    found = texts.mapInArrow(
-        in_slices(_examples), "doc_id bigint, kind int, label double, features binary"
-    ).toPandas()
-    found = found.sort_values(["doc_id", "kind", "label", "features"])
-    rows = np.frombuffer(b"".join(found["features"]), float).reshape(-1, WIDTH)
-    labels, kinds = found["label"].to_numpy(float), found["kind"].to_numpy()
-    aside = np.arange(len(rows)) % 5 == 0
-    trees = gbt.fit(rows[~aside], labels[~aside], trees=40)
-    scores = trees.probability(rows[aside]) if aside.any() else np.zeros(0)
+def _columns(cells):
+    """part, label, bins and n of cells in an Arrow batch or a data frame, as arrays."""
+    part, label, packed, n = (np.asarray(cells[c]) for c in ("part", "label", "bins", "n"))
+    return part, label, np.frombuffer(b"".join(packed), np.uint8).reshape(-1, WIDTH), n
+
+
+def _tally(keys, n):
+    """(keys, sums of n, zeros): whole numbers added up by key."""
+    keys, place = np.unique(keys, return_inverse=True)
+    sums = np.zeros((2, len(keys)), np.int64)
+    np.add.at(sums[0], place, n)
+    return keys, *sums
+
+
+def _summed(cells: DataFrame, driver_cells: int):
+    """What adds up (key, a, b), whole numbers that a function gives for cells, by key."""
+    if cells.count() <= driver_cells:
+        held = _columns(cells.toPandas())
+        return lambda what: what(*held)
+
+    def by_spark(what):
+        def run(batches: Iterator[pa.RecordBatch]):
+            for batch in batches:
+                sums = what(*_columns(batch))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, pa.int64()) for x in sums], names=["key", "a", "b"]
+                )
+
+        rows = cells.mapInArrow(run, "key bigint, a bigint, b bigint").groupBy("key")
+        # As many keys as a level has nodes, features and bins, or margins and scores have steps.
+        rows = sorted(rows.agg(F.sum("a"), F.sum("b")).collect())
+        return tuple(np.array([row[k] for row in rows], np.int64) for k in range(3))
+
+    return by_spark
+
+
+def fit(docs: DataFrame, driver_cells=DRIVER_CELLS) -> Detector:
+    """Trees and thresholds from the spans of all documents that have an id."""
+    with Scratch(docs.sparkSession, "pii") as scratch:
+        found = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(
+            in_slices(_cells), "part int, label int, bins binary, n bigint"
+        )
+        cells = scratch.keep(found.groupBy("part", "label", "bins").agg(F.sum("n").alias("n")))
+        summed = _summed(cells, driver_cells)
+
+        def classes(part, label, binned, n):
+            return _tally(2 * part.astype(np.int64) + label, n)
+
+        keys, counts, _ = summed(classes)
+        totals = dict(zip(keys.tolist(), counts.tolist()))
+
+        def sums(model, t, level):
+            def what(part, label, binned, n):
+                some = part == LEARN
+                return gbt.gradient_sums(model, t, level, binned[some], label[some], n[some])
+
+            return summed(what)
+
+        learn = [totals.get(2 * LEARN + label, 0) for label in (0, 1)]
+        trees = gbt.fit_counted(sums, learn, WIDTH, TREES)
+
+        def margins(part, label, binned, n):
+            some = part == CALIBRATE
+            fixed = np.rint(trees.margin(gbt.of_bins(binned[some])) * _MARGIN).astype(np.int64)
+            return _tally(2 * fixed + label[some], n[some])
+
+        keys, counts, _ = summed(margins)
+        trees.calibrate((keys >> 1) / _MARGIN, keys & 1, counts)
+
+        def scores(part, label, binned, n):
+            some = (part == THRESHOLD) & (label == 1)
+            fixed = np.floor(trees.probability(gbt.of_bins(binned[some])) * _SCORE)
+            # What lies below the least threshold need not be told apart.
+            fixed = np.where(fixed < LEAST_THRESHOLD * _SCORE, 0, fixed).astype(np.int64)
+            kind = binned[some][:, : len(KINDS)].argmax(axis=1)
+            return _tally(kind * (2 * _SCORE) + fixed, n[some])
+
+        keys, counts, _ = summed(scores)
     thresholds = {}
-    for n, kind in enumerate(KINDS):
-        good = scores[(kinds[aside] == n) & (labels[aside] > 0)]
-        passing = float(np.quantile(good, 1 - PASS_SHARE)) if len(good) else 1.1
-        thresholds[kind] = max(passing, LEAST_THRESHOLD)
+    for number, kind in enumerate(KINDS):
+        own = keys // (2 * _SCORE) == number
+        passing = np.cumsum(counts[own][::-1]) >= PASS_SHARE * counts[own].sum()
+        level = (keys[own][::-1] % (2 * _SCORE))[passing.argmax()] / _SCORE if own.any() else 1.1
+        thresholds[kind] = max(float(level), LEAST_THRESHOLD)
     return Detector(trees, thresholds)
 
 
 def personal_data(
-    df: DataFrame, doc_id="doc_id", text="text", sample_documents=SAMPLE_DOCUMENTS
+    df: DataFrame, doc_id="doc_id", text="text", driver_cells=DRIVER_CELLS
 ) -> DataFrame:
     """Per row: doc_id, base and added spans, and the text with all spans redacted.
 
     ``base`` and ``added`` are strings ``kind:start:end,...`` by kind (email, ip, card,
     phone), then start, in code points, end exclusive. ``redacted`` has each span replaced
     by its kind in brackets; a null text counts as empty for the spans and stays null here.
-    Rows with a null id are searched too, but the trees do not learn from them. Kinds
-    without any base span in the sample get no added spans. Other columns are left out.
+    Rows with a null id are searched too, but the trees do not learn from them; repeated
+    rows count as often as they stand. Kinds without any base span in the part of all spans
+    that sets thresholds get no added spans. Other columns are left out.
     """
     docs = pick(df, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    detector = fit(docs, sample_documents)
+    detector = fit(docs, driver_cells)
 
     def find(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -298,11 +366,11 @@ def personal_data(
 
 
 def without_personal_data(
-    df: DataFrame, doc_id="doc_id", text="text", sample_documents=SAMPLE_DOCUMENTS
+    df: DataFrame, doc_id="doc_id", text="text", driver_cells=DRIVER_CELLS
 ) -> DataFrame:
     """The rows of ``df`` with all spans in the text redacted; other columns stay."""
     docs = pick(df, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    detector = fit(docs, sample_documents)
+    detector = fit(docs, driver_cells)
     column = df.columns.index(text)
 
     def clean(value):
