@@ -679,3 +679,21 @@ def test_trees_learn_from_every_document_and_span(spark, monkeypatch):
     assert len(here.trees.leaf) == 2 and here.thresholds == there.thresholds
     for one, other in zip(vars(here.trees).values(), vars(there.trees).values()):
         assert np.array_equal(one, other)
+
+
+@pytest.mark.parametrize("shares", [(1e-5, 1e-6), (0.02, 0.01), (2, 2)])
+def test_rare_words_and_bigrams_keep_their_counts(spark, monkeypatch, shares):
+    """Whatever is broadcast, the losses are those of plain counters without any cut."""
+    monkeypatch.setattr(lmscore, "WORD_SHARE", shares[0])
+    monkeypatch.setattr(lmscore, "BIGRAM_SHARE", shares[1])
+    random.seed(19)
+    texts = [" ".join(random.choices("abcdefghijklmnop"[: 4 + n % 12], k=random.randint(1, 40))) for n in range(40)]
+    texts += [None, "", texts[0], "rare words here " * 9, "x " * 3_000]
+    targets = set(range(0, 40, 7)) | {43}
+    target = spark.createDataFrame([(n,) for n in targets], "doc_id long")
+    rows = lmscore.cross_entropy_difference(docs(spark, *texts), target).orderBy("doc_id").collect()
+    want = brute_losses(texts, targets, 0, 0)
+    assert [r.n_tokens for r in rows] == [len((t or "").split()) for t in texts]
+    for row, one, other in zip(rows, *want):
+        got = [row.target_loss, row.background_loss]
+        assert got == [None, None] if one is None else got == pytest.approx([one, other])

@@ -1,13 +1,18 @@
 """Cross-entropy difference of two matched n-gram models, after Moore and Lewis.
 
-Words are lower-cased (A-Z) and hashed. Both models share one vocabulary: the words that
-make up at least one part in 100,000 of the whole corpus or of the target; there are 200,000
-of them at most, by arithmetic. All others are one unknown word. Bigrams that make up at
-least one part in a million of either (two million at most) have counts of their own, others
-fall back on unigrams. The models are matched: the background's counts are weighed down to
-as many words as the target has before they are smoothed. Counts are taken over all documents,
-target and background side by side, added up first in each task and then by a shuffle. The
-two bounded tables are broadcast for scoring, which needs no shuffle.
+Words are lower-cased (A-Z) and hashed. Both models share one vocabulary, all words of the
+corpus, and all bigrams have counts of their own, mixed with those of their second word. The
+models are matched: the background's counts are weighed down to as many words as the target
+has before they are smoothed. Counts are taken over all documents, target and background side
+by side, added up first in each task and then by a shuffle.
+
+Bigrams that make up at least one part in a million of the corpus or of the target (two
+million at most, by arithmetic) are broadcast with their losses. All others are rare: no key
+is hot, and each document's are joined with their losses by a shuffle. Where the line lies
+changes no result. Losses are added up in fixed point, in any order.
+
+``train`` gives models of the frequent words and bigrams alone, with which texts from
+elsewhere can be scored without the corpus.
 
 score = mean over tokens of -log p_target + log p_background: the lower, the more a document
 resembles the target.
@@ -21,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickforge.llm.common import Scratch, in_slices, pick
-from tickforge.llm.shingles import word_hashes
+from tickforge.llm.shingles import mix, word_hashes
 
 WORD_SHARE = 1e-5
 BIGRAM_SHARE = 1e-6
@@ -31,6 +36,8 @@ BLEND = 0.7
 GATHERED = 1 << 20
 
 START, UNKNOWN = 0, 1  # ids; words follow
+#: Fixed point of summed losses.
+FIXED = 1 << 32
 
 
 def _counted(keys_of):
@@ -183,28 +190,167 @@ def cross_entropy_difference(
     all documents. Documents are scored whole, those of the target included. Null and empty
     texts have no tokens and null losses; a null id is never a target; repeated rows count
     as often as they stand, repeated target ids once. With no target documents the target
-    model is uniform over the vocabulary.
+    model is uniform over the vocabulary. Every word and bigram of the documents counts.
     """
     docs = pick(df, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     marks = target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     with Scratch(df.sparkSession, "lmscore") as scratch:
         # Target ids grow with the corpus: a shuffle at every size, never a broadcast.
         marks = marks.withColumn("target", F.lit(True)).hint("merge")
-        joined = docs.join(marks, "doc_id", "left")
-        marked = scratch.keep(joined.select("text", F.coalesce("target", F.lit(False)).alias("target")))
-        models = df.sparkSession.sparkContext.broadcast(train(marked))
+        marked = docs.join(marks, "doc_id", "left").select(
+            F.monotonically_increasing_id().alias("row"), "doc_id", "text",
+            F.coalesce("target", F.lit(False)).alias("target"),
+        )
+        marked = scratch.keep(marked)
+        losses = _losses(marked, scratch)
+        often = losses.where("often").select("a", "b", "target", "background").toPandas()
+        known = _Known(*(often[c].to_numpy(np.int64) for c in often))
+        known = df.sparkSession.sparkContext.broadcast(known)
+        own = marked.select("row", "doc_id", "text").mapInArrow(
+            in_slices(_own(known)), "row bigint, doc_id bigint, n_tokens bigint, target bigint, background bigint"
+        )
+        rare = marked.select("row", "text").mapInArrow(
+            in_slices(_rare(known)), "row bigint, a bigint, b bigint, m bigint"
+        )
+        rare = rare.join(losses.where("not often").hint("merge"), ["a", "b"]).groupBy("row")
+        rare = rare.agg(
+            F.expr("sum(m * target)").alias("rare_target"),
+            F.expr("sum(m * background)").alias("rare_background"),
+        )
+        both = own.join(rare.hint("merge"), "row", "left")
+        means = [
+            F.expr(f"({c} + coalesce(rare_{c}, 0L)) / {float(FIXED)}D / nullif(n_tokens, 0L)").alias(f"{c}_loss")
+            for c in ("target", "background")
+        ]
+        scored = scratch.keep(both.select("doc_id", "n_tokens", *means), last=True)
+    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+
+
+def _bigrams(text):
+    """(words before, words) of a text; the first word comes after ``START``."""
+    words = _words(text)
+    return np.concatenate([np.full(min(1, len(words)), START), words[:-1]]), words
+
+
+def _bigram_keys(before, words):
+    return mix(mix(before.view(np.uint64)) + words.view(np.uint64))
+
+
+def _bigram_counts(batches: Iterator[pa.RecordBatch]):
+    """(a, b, n, t): bigrams in all documents and in target documents, by task."""
+    held, size = [], 0
+
+    def added():
+        a, b, target = (np.concatenate(x) for x in zip(*held))
+        _, first, place = np.unique(_bigram_keys(a, b), return_index=True, return_inverse=True)
+        n, t = np.bincount(place), np.bincount(place, target).astype(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.int64()) for x in (a[first], b[first], n, t)], names=["a", "b", "n", "t"]
+        )
+
+    for batch in batches:
+        for text, target in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = _bigrams(text)
+            held.append((a, b, np.full(len(a), target)))
+            size += len(a)
+        if size >= GATHERED:
+            yield added()
+            held, size = [], 0
+    if size:
+        yield added()
+
+
+def _losses(docs, scratch):
+    """(a, b, often, target, background): losses of all bigrams, in fixed point."""
+    words = scratch.keep(_sums(docs, _words))
+    distinct, total, total_t = words.agg(F.count("*"), F.sum("n"), F.sum("t")).first()
+    total, total_t = int(total or 0), int(total_t or 0)
+    pairs = docs.select("text", "target").mapInArrow(
+        in_slices(_bigram_counts), "a bigint, b bigint, n bigint, t bigint"
+    )
+    pairs = scratch.keep(pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("t").alias("t")))
+    starts = docs.where("text is not null").agg(
+        F.lit(START).cast("long").alias("key"), F.count("*").alias("n"),
+        F.coalesce(F.sum(F.col("target").cast("long")), F.lit(0)).alias("t"),
+    )
+    frequent = scratch.keep(words.where(_often(WORD_SHARE, total, total_t)).union(starts))
+
+    def beside(df, side):
+        """Add a word's counts: frequent words are broadcast, the others have no hot key."""
+        named = [F.col("key").alias(side), F.col("n").alias(f"n_{side}"), F.col("t").alias(f"t_{side}")]
+        joined = df.join(F.broadcast(frequent.select(named)), side, "left")
+        rest = joined.where(f"n_{side} is null").drop(f"n_{side}", f"t_{side}")
+        found = rest.join(words.select(named).hint("merge"), side)
+        return joined.where(f"n_{side} is not null").unionByName(found)
+
+    def loss(count, own, whole, weight):
+        single = f"({weight}D * {own}_b + 1) / ({weight}D * {whole} + {distinct + 1})"
+        blend = f"if({own}_a > 0, {BLEND}D, 0D)"
+        mixed = f"{blend} * {count} / greatest({own}_a, 1L) + (1 - {blend}) * {single}"
+        return F.expr(f"cast(round(-ln({mixed}) * {FIXED}) as bigint)")
+
+    matched = total_t / total if total_t else 1.0
+    return scratch.keep(
+        beside(beside(pairs, "a"), "b").select(
+            "a", "b", _often(BIGRAM_SHARE, total, total_t).alias("often"),
+            loss("t", "t", total_t, 1.0).alias("target"),
+            loss("n", "n", total, matched).alias("background"),
+        )
+    )
+
 
-    def score(batches: Iterator[pa.RecordBatch]):
+class _Known:
+    """Frequent bigrams with their losses, by key."""
+
+    def __init__(self, a, b, target, background):
+        keys = _bigram_keys(a, b)
+        order = np.argsort(keys)
+        self.keys, self.a, self.b = keys[order], a[order], b[order]
+        self.target, self.background = target[order], background[order]
+
+    def split(self, text):
+        """(places of the frequent bigrams of a text, words before and words of the others)."""
+        a, b = _bigrams(text)
+        if not len(self.keys):
+            return np.zeros(0, int), a, b
+        place = np.searchsorted(self.keys, _bigram_keys(a, b)).clip(max=len(self.keys) - 1)
+        known = (self.a[place] == a) & (self.b[place] == b)
+        return place[known], a[~known], b[~known]
+
+
+def _own(known):
+    """Per row: number of words, and summed losses of its frequent bigrams."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            found = [models.value.score(text) for text in batch.column(1).to_pylist()]
-            columns = list(zip(*found)) or [[], [], []]
-            kinds = (pa.int64(), pa.float64(), pa.float64())
+            rows = []
+            for text in batch.column(2).to_pylist():
+                place, a, _ = known.value.split(text)
+                sums = (int(x[place].sum()) for x in (known.value.target, known.value.background))
+                rows.append((len(place) + len(a), *sums))
+            columns = list(zip(*rows)) or [[], [], []]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-                names=["doc_id", "n_tokens", "target_loss", "background_loss"],
+                [batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in columns]],
+                names=["row", "doc_id", "n_tokens", "target", "background"],
             )
 
-    scored = docs.mapInArrow(
-        in_slices(score), "doc_id bigint, n_tokens bigint, target_loss double, background_loss double"
-    )
-    return scored.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    return run
+
+
+def _rare(known):
+    """(row, a, b, m): how often each of its other bigrams occurs in a row."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            found = []
+            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                _, a, b = known.value.split(text)
+                _, first, m = np.unique(_bigram_keys(a, b), return_index=True, return_counts=True)
+                found.append((np.full(len(m), row), a[first], b[first], m))
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(x), pa.int64()) for x in zip(*found)],
+                    names=["row", "a", "b", "m"],
+                )
+
+    return run
