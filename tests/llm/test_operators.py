@@ -7,9 +7,12 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -697,3 +700,75 @@ def test_rare_words_and_bigrams_keep_their_counts(spark, monkeypatch, shares):
     for row, one, other in zip(rows, *want):
         got = [row.target_loss, row.background_loss]
         assert got == [None, None] if one is None else got == pytest.approx([one, other])
+
+
+@pytest.mark.parametrize("share_bytes", [100, 1 << 24])
+def test_blocks_and_shares_change_no_loss(spark, monkeypatch, share_bytes):
+    """Rows without id, repeated rows, and texts longer than a block."""
+    monkeypatch.setattr(lmscore, "BLOCK_BYTES", 400)
+    monkeypatch.setattr(lmscore, "SHARE_BYTES", share_bytes)
+    random.seed(23)
+    texts = [" ".join(random.choices("abcdefghijklmnop"[: 4 + n % 12], k=random.randint(1, 90))) for n in range(60)]
+    texts += [None, "", " ", texts[0], "x " * 900]
+    ids = [None if n % 9 == 4 else n // 2 for n in range(len(texts))]
+    table = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(3)
+    target = spark.createDataFrame([(n,) for n in range(0, 30, 4)] + [(None,)], "doc_id long")
+    rows = lmscore.cross_entropy_difference(table, target).collect()
+    marked = {n for n, i in enumerate(ids) if i is not None and i % 4 == 0 and i < 30}
+    order = lambda x: [(-1 if y is None else y) for y in x]
+    want = zip(ids, [len((t or "").split()) for t in texts], *brute_losses(texts, marked, 0, 0))
+    got = [(r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in rows]
+    for one, other in zip(sorted(map(order, got)), sorted(map(order, want)), strict=True):
+        assert one == pytest.approx(other)
+
+
+def test_runs_of_a_split_block_are_answered_apart():
+    texts = ["a b a", "", "b c", "c d a b", None, "a a a b", "d e", "e", "a b c d"]
+    rows = [(7, n, t, n % 2 == 0) for n, t in enumerate(texts)]
+    names = ["block", "place", "text", "target"]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=names)
+
+    def losses(*batches):
+        counts = pa.Table.from_batches([x for b in batches for x in lmscore._counts(3)(iter([b]))])
+        groups = {(k, s) for k, s in zip(counts["kind"].to_pylist(), counts["share"].to_pylist())}
+        answers = pa.concat_tables(
+            lmscore._answers(counts.filter((pc.field("kind") == k) & (pc.field("share") == s))) for k, s in groups
+        )
+        words = answers.filter(pc.field("kind") == lmscore.WORD)
+        totals = [sum(words[c].to_pylist()) for c in ("distinct", "total", "total_t")]
+        asking = pa.table({"place": range(len(texts)), "doc_id": range(len(texts)), "text": pa.array(texts)})
+        return lmscore._losses((8, 4), *totals)(asking, answers).to_pylist()
+
+    whole = losses(batch(rows))
+    assert [r["n_tokens"] for r in whole] == [len((t or "").split()) for t in texts]
+    assert losses(batch(rows[5:]), batch(rows[:5])) == whole
+    assert losses(batch(rows[5:] + rows[:1]), batch(rows[1:2]), batch(rows[2:5])) == whole
+
+
+def test_language_model_scores_take_little_disk(spark, monkeypatch):
+    """What lies in shuffles and tables as each table is written, for texts of rare words."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(x.getPath()) for x in manager.localDirs()]
+
+    def used(kind):
+        return {f: f.stat().st_size for d in folders for f in d.rglob(kind)}
+
+    spark._jvm.System.gc()
+    before, most = set(used("shuffle_*")), []
+    keep = Scratch.keep
+
+    def keeping(scratch, df, **options):
+        found = keep(scratch, df, **options)
+        tables = sum(f.stat().st_size for f in Path(scratch.root.removeprefix("file:")).rglob("part-*"))
+        most.append(tables + sum(n for f, n in used("shuffle_*").items() if f not in before))
+        return found
+
+    monkeypatch.setattr(Scratch, "keep", keeping)
+    random.seed(24)
+    texts = [" ".join(f"{random.getrandbits(14):x}" for _ in range(1000)) for _ in range(300)]
+    table = docs(spark, *texts)
+    target = spark.createDataFrame([(n,) for n in range(0, 300, 3)], "doc_id long")
+    assert lmscore.cross_entropy_difference(table, target).where("score is null").count() == 0
+    assert max(most) < 5 * sum(map(len, texts))
